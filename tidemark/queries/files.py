@@ -1 +1,278 @@
-"""x"""
+"""File and table sources and sinks, checked by reading back."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import functions as F
+
+from tidemark import schemas
+from tidemark.functions import payload
+from tidemark.operators import retain, viewership
+from tidemark.queries.registry import query
+from tidemark.session import scratch_path
+from tidemark.sinks import files, tables
+from tidemark.sources import catalog, inventory, landed
+
+_SAMPLES = "SELECT ts AS timestamp, app_id, title, player_count, is_free{0} FROM raw_activity"
+
+
+def _samples(m):
+    return m.raw_activity.select(F.col("ts").alias("timestamp"), "app_id", "title", "player_count", "is_free")
+
+
+@query("derive_partitions", _SAMPLES.format(", CAST(ts AS DATE) AS date, app_id AS game_id"))
+def _(m):
+    return files.derive_partitions(_samples(m))
+
+
+def _saved(m, cols):
+    path = scratch_path(m.spark, "samples")
+    rows = _samples(m)
+    files.save_samples(rows, path, cols)
+    return landed.scan_partitioned(m.spark, path, files.derive_partitions(rows).schema)
+
+
+@query("scan_raw_partitioned", _SAMPLES.format(", CAST(ts AS DATE) AS date, app_id AS game_id"))
+def _(m):
+    return _saved(m, ["date"])
+
+
+@query("write_partitioned", _SAMPLES.format(", CAST(ts AS DATE) AS date, app_id AS game_id"))
+def _(m):
+    return _saved(m, ["date", "is_free"]).select("timestamp", "app_id", "title", "player_count", "is_free", "date", "game_id")
+
+
+@query("write_flat", _SAMPLES.format(", CAST(ts AS DATE) AS date, app_id AS game_id"))
+def _(m):
+    return _saved(m, None)
+
+
+@query(
+    "validate_batch",
+    """SELECT 'valid' AS batch, 'accepted' AS outcome, COUNT(*) AS records FROM raw_activity
+       UNION ALL SELECT 'no count', 'Missing required column: player_count', COUNT(*) FROM raw_activity
+       UNION ALL SELECT 'text id', 'app_id must be integer type', COUNT(*) FROM raw_activity
+       UNION ALL SELECT 'empty', 'Cannot save empty data', 0""",
+)
+def _(m):
+    rows = _samples(m)
+    batches = {
+        "valid": rows,
+        "no count": rows.drop("player_count"),
+        "text id": rows.withColumn("app_id", F.col("app_id").cast("string")),
+        "empty": rows.where(F.col("player_count") < 0),
+    }
+    report = None
+    for name, batch in batches.items():
+        try:
+            files.validate_batch(batch)
+            outcome = "accepted"
+        except (TypeError, ValueError) as error:
+            outcome = str(error)
+        line = batch.agg(F.count(F.lit(1)).alias("records")).select(
+            F.lit(name).alias("batch"), F.lit(outcome).alias("outcome"), "records"
+        )
+        report = line if report is None else report.unionByName(line)
+    return report
+
+
+@query(
+    "export_json_records",
+    """SELECT event_id, STRFTIME(ts, '%Y-%m-%dT%H:%M:%S.%g') AS ts,
+              STRFTIME(CAST(ts AS DATE), '%Y-%m-%dT00:00:00.000') AS date,
+              CASE WHEN k = 7 THEN NULL ELSE value END AS value, CASE WHEN k > 50 THEN event_type END AS event_type
+       FROM ev""",
+)
+def _(m):
+    k = F.get_json_object("props", "$.k").cast("int")
+    rows = m.table("events").select(
+        "event_id", "ts", F.to_date("ts").alias("date"),
+        F.when(k == 7, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"),
+        F.when(k > 50, F.col("event_type")).alias("event_type"),
+    )
+    path = scratch_path(m.spark, "records")
+    name = f"records_{uuid.uuid4().hex}"
+    catalog.register(rows, name)
+    files.export_records(m.spark, path, query=f"SELECT * FROM {name}")
+    catalog.unregister(m.spark, name)
+    shape = "event_id BIGINT, ts STRING, date STRING, value DOUBLE, event_type STRING"
+    return landed.scan_json(m.spark, path, shape)
+
+
+def _fresh(prefix):
+    return f"{prefix}_{uuid.uuid4().hex}"
+
+
+@query("append_table", "SELECT ts, app_id, title, player_count FROM raw_activity")
+def _(m):
+    """Clicks create the table, views are appended with another column order."""
+    from tidemark.queries.binding import activity_of
+
+    columns = ["ts", "app_id", "title", "player_count"]
+    name, path = _fresh("appended"), scratch_path(m.spark, "appended")
+    tables.append_table(activity_of(m.events("click")).select(*columns), name, path)
+    tables.append_table(activity_of(m.events("view")).select(*reversed(columns)), name)
+    schema = m.spark.table(name).schema
+    m.spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return landed.scan_partitioned(m.spark, path, schema)
+
+
+@query("ctas_if_absent", "SELECT ts, channel_id, viewer_count FROM raw_viewers")
+def _(m):
+    name, path = _fresh("created"), scratch_path(m.spark, "created")
+    rows = m.raw_viewers.select("ts", "channel_id", "viewer_count")
+    tables.ctas_if_absent(rows, name, path)
+    tables.ctas_if_absent(rows.where(F.col("viewer_count") < 0), name, path)  # no effect
+    m.spark.sql(f"DROP TABLE {name}")
+    return landed.scan_partitioned(m.spark, path, rows.schema)
+
+
+_FILLED = {
+    "raw_activity": "raw_activity", "raw_viewers": "raw_viewers", "raw_ratings": "raw_ratings",
+    "worklist": "worklist", "dimension": "dim",
+    "hourly_activity": "hourly_activity", "daily_activity": "daily_activity",
+    "daily_viewers": "daily_viewers", "ratings_daily": "ratings_daily",
+}
+
+
+@query(
+    "empty_tables",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {len(s)} AS columns, "
+        + (f"(SELECT COUNT(*) FROM {_FILLED[t]})" if t in _FILLED else "0") + " AS records"
+        for t, s in schemas.TABLES.items()
+    ),
+)
+def _(m):
+    """Create all typed tables, fill the ones with bound data, count all."""
+    prefix, root = f"t{uuid.uuid4().hex}_", scratch_path(m.spark, "typed")
+    created = tables.create_empty_tables(m.spark, schemas.TABLES, root, prefix)
+    for table, frame in _FILLED.items():
+        bound = getattr(m, frame)
+        tables.append_table(bound() if callable(bound) else bound, prefix + table)
+    report = None
+    for full in created:
+        rows = m.spark.read.schema(m.spark.table(full).schema).parquet(f"{root}/{full}")
+        line = rows.agg(F.count(F.lit(1)).alias("records")).select(
+            F.lit(full.removeprefix(prefix)).alias("table_name"), F.lit(len(rows.columns)).alias("columns"), "records"
+        )
+        report = line if report is None else report.unionByName(line)
+        m.spark.sql(f"DROP TABLE {full}")
+    return report
+
+
+@query("scan_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def _(m):
+    name = _fresh("orders")
+    catalog.register(m.table("orders").select("o_orderkey", "o_custkey", "o_totalprice"), name)
+    rows = catalog.scan_table(m.spark, name)
+    catalog.unregister(m.spark, name)
+    return rows
+
+
+@query(
+    "adhoc_sql",
+    """SELECT title, COUNT(*) AS samples, MAX(player_count) AS peak FROM raw_activity
+       WHERE player_count > 5000 GROUP BY title""",
+)
+def _(m):
+    return catalog.query(
+        m.spark,
+        """SELECT title, COUNT(*) AS samples, MAX(player_count) AS peak FROM {raw}
+           WHERE player_count > 5000 GROUP BY title ORDER BY peak DESC""",
+        raw=m.raw_activity,
+    )
+
+
+@query("register_frame", "SELECT channel_id, COUNT(*) AS samples FROM raw_viewers GROUP BY channel_id")
+def _(m):
+    name = _fresh("frame")
+    catalog.register(m.raw_viewers, name)
+    rows = m.spark.sql(f"SELECT channel_id, COUNT(*) AS samples FROM {name} GROUP BY channel_id")
+    catalog.unregister(m.spark, name)
+    return rows
+
+
+@query(
+    "table_columns",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, {i} AS ordinal_position, COUNT({c}) AS present FROM raw_activity"
+        for i, (c, t) in enumerate(
+            [(f.name, f.dataType.simpleString()) for f in schemas.TABLES["raw_activity"]], 1
+        )
+    ),
+)
+def _(m):
+    """Columns of a registered table, with the number of values present."""
+    name = _fresh("columns")
+    rows = catalog.register(m.raw_activity, name)
+    listing = catalog.table_columns(m.spark, name)
+    catalog.unregister(m.spark, name)
+    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
+    tall = counts.unpivot([], rows.columns, "column_name", "present")
+    return listing.join(tall, "column_name")
+
+
+@query(
+    "scan_landed_metadata",
+    """SELECT p_partkey AS app_id, p_name AS name, free_flag AS is_free,
+              CASE WHEN p_size >= 5 THEN p_brand ELSE '' END AS developers,
+              CASE WHEN free_flag OR p_brand = 'Brand#1' THEN 0 ELSE (cents - p_size * 10) / 100 END AS price
+       FROM store_base""",
+)
+def _(m):
+    path = scratch_path(m.spark, "metadata")
+    payload.store_metadata(m.store_landed).write.json(path)
+    rows = landed.scan_metadata(m.spark, path, whole_files=False)
+    return rows.select(
+        "app_id", "name", "is_free", F.array_join("developers", "|").alias("developers"),
+        F.col("price_info.price").alias("price"),
+    )
+
+
+@query(
+    "scan_landed_viewership",
+    """SELECT p.p_partkey AS app_id, CAST(p.p_partkey AS VARCHAR) AS channel_id,
+              CAST(COALESCE(SUM(s.viewer_count), 0) AS BIGINT) AS viewer_count, COUNT(s.channel_id) AS channel_count,
+              COUNT(CASE WHEN s.n <= 3 THEN 1 END) AS leaders
+       FROM part p LEFT JOIN streams_ranked s ON s.channel_id = CAST(p.p_partkey AS VARCHAR) AND s.n <= 100
+       GROUP BY 1, 2""",
+)
+def _(m):
+    from tidemark.contract import publish
+
+    path = scratch_path(m.spark, "viewership")
+    rows = viewership.viewership(m.requested, m.streams)
+    publish(rows).write.json(path)
+    back = landed.scan_viewership(m.spark, path, whole_files=False)
+    return back.select(
+        "app_id", "channel_id", "viewer_count", "channel_count",
+        F.size("top_streams").cast("bigint").alias("leaders"),
+    )
+
+
+@query("scan_file_inventory")
+def _(m):
+    return inventory.file_inventory(m.spark, m.sf_dir)
+
+
+def _later(days):
+    return datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(days=days)
+
+
+@query("file_retention_plan")
+def _(m):
+    """Freshly written files seen from eight days on."""
+    path = scratch_path(m.spark, "old-files")
+    files.save_samples(_samples(m), path, ["date"])
+    return retain.file_retention_plan(m.spark, path, _later(8), 7)
+
+
+@query("file_retention_summary")
+def _(m):
+    path = scratch_path(m.spark, "old-files")
+    files.save_samples(_samples(m), path, ["date"])
+    return retain.file_retention_summary(retain.file_retention_plan(m.spark, path, _later(40), 30))
+

@@ -63,20 +63,17 @@ def _(m):
 
 @query(
     "extract_descriptions",
-    """SELECT o_orderkey, STRING_AGG(COALESCE(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, ''), '|'
-                                     ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) AS descriptions
-       FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""",
+    """SELECT p_partkey AS app_id, p_type || '||' || p_brand AS categories,
+              CASE WHEN p_size > 2 THEN p_brand ELSE '' END AS genres FROM part""",
 )
 def _(m):
-    """Items of an order as the nested array; orders have a handful of lines."""
-    item = F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
-        F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("description"),
-    )
-    lines = m.table("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    orders = m.table("orders").select("o_orderkey")
-    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        "o_orderkey", F.array_join(payload.descriptions(F.col("items")), "|").alias("descriptions")
+    part = m.table("part")
+    items = F.array(*[F.struct(c.cast("string").alias("description")) for c in (F.col("p_type"), F.lit(None), F.col("p_brand"))])
+    genres = F.when(F.col("p_size") > 2, F.array(F.struct(F.col("p_brand").alias("description"))))
+    return part.select(
+        F.col("p_partkey").alias("app_id"),
+        F.array_join(payload.descriptions(items), "|").alias("categories"),
+        F.array_join(payload.descriptions(genres), "|").alias("genres"),
     )
 
 

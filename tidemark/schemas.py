@@ -4,83 +4,84 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+LONG, INT, DOUBLE, TEXT, FLAG = (
+    T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.BooleanType(),
+)
+DATE, MOMENT = T.DateType(), T.TimestampNTZType()
+LIST = T.ArrayType(TEXT)
+LINKS = T.MapType(TEXT, TEXT)
 
 
-def _period_table(period: str, key: str, measures: str, canonical: bool = True) -> T.StructType:
-    lead = f"{period}, canonical_id BIGINT, " if canonical else f"{period}, "
-    return _struct(f"{lead}{key}, title STRING, {measures}")
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])
 
 
-_RATING = "rating DOUBLE, critic_rating DOUBLE, rating_count INT"
-_CCU = (
-    "avg_ccu DOUBLE, peak_ccu BIGINT, min_ccu BIGINT, avg_score DOUBLE, "
-    "avg_price_cents DOUBLE, samples BIGINT"
-)
-_VIEWERS = (
-    "avg_viewers DOUBLE, peak_viewers BIGINT, min_viewers BIGINT, avg_channels DOUBLE, samples BIGINT"
-)
+_RATING = {"rating": DOUBLE, "critic_rating": DOUBLE, "rating_count": INT}
+_CCU = {
+    "avg_ccu": DOUBLE, "peak_ccu": LONG, "min_ccu": LONG, "avg_score": DOUBLE,
+    "avg_price_cents": DOUBLE, "samples": LONG,
+}
+_VIEWERS = {
+    "avg_viewers": DOUBLE, "peak_viewers": LONG, "min_viewers": LONG, "avg_channels": DOUBLE,
+    "samples": LONG,
+}
+_APP = {"canonical_id": LONG, "app_id": LONG, "title": TEXT}
+_CHANNEL = {"canonical_id": LONG, "channel_id": TEXT, "title": TEXT}
+_ENTITY = {"canonical_id": LONG, "title": TEXT}
 
 
-def _coarse_ccu(count: str) -> str:
-    return (
-        "avg_peak_ccu DOUBLE, max_peak_ccu BIGINT, avg_ccu DOUBLE, "
-        f"total_samples BIGINT, {count} BIGINT"
-    )
+def _coarse_activity(period: str, count: str) -> T.StructType:
+    measures = {
+        "avg_peak_ccu": DOUBLE, "max_peak_ccu": LONG, "avg_ccu": DOUBLE, "total_samples": LONG,
+    }
+    return _table(**{period: DATE}, **_APP, **measures, **{count: LONG})
 
 
-def _coarse_viewers(count: str) -> str:
-    return (
-        "avg_peak_viewers DOUBLE, max_peak_viewers BIGINT, avg_viewers DOUBLE, "
-        f"avg_channels DOUBLE, total_samples BIGINT, {count} BIGINT"
-    )
+def _coarse_viewers(period: str, count: str) -> T.StructType:
+    measures = {
+        "avg_peak_viewers": DOUBLE, "max_peak_viewers": LONG, "avg_viewers": DOUBLE,
+        "avg_channels": DOUBLE, "total_samples": LONG,
+    }
+    return _table(**{period: DATE}, **_CHANNEL, **measures, **{count: LONG})
 
 
 TABLES: dict[str, T.StructType] = {
-    "raw_activity": _struct(
-        "ts TIMESTAMP_NTZ, app_id BIGINT, title STRING, player_count BIGINT, score INT, "
-        "price_cents INT, is_free BOOLEAN"
+    "raw_activity": _table(
+        ts=MOMENT, app_id=LONG, title=TEXT, player_count=LONG, score=INT, price_cents=INT,
+        is_free=FLAG,
     ),
-    "raw_viewers": _struct(
-        "ts TIMESTAMP_NTZ, channel_id STRING, title STRING, viewer_count BIGINT, channel_count INT"
+    "raw_viewers": _table(
+        ts=MOMENT, channel_id=TEXT, title=TEXT, viewer_count=LONG, channel_count=INT
     ),
-    "raw_ratings": _struct(f"ts TIMESTAMP_NTZ, canonical_id BIGINT, {_RATING}"),
-    "worklist": _struct(
-        "canonical_id BIGINT, title STRING, enriched BOOLEAN, discovered_at TIMESTAMP_NTZ, "
-        "discovery_source STRING, discovery_rank BIGINT"
+    "raw_ratings": _table(ts=MOMENT, canonical_id=LONG, **_RATING),
+    "worklist": _table(
+        canonical_id=LONG, title=TEXT, enriched=FLAG, discovered_at=MOMENT, discovery_source=TEXT,
+        discovery_rank=LONG,
     ),
-    "dimension": _struct(
-        "canonical_id BIGINT, title STRING, slug STRING, app_id BIGINT, channel_id STRING, "
-        "video_channel_id STRING, epic_id STRING, gog_id STRING, summary STRING, "
-        "first_release_date TIMESTAMP_NTZ, cover_url STRING, store_description STRING, "
-        "required_age INT, genres ARRAY<STRING>, themes ARRAY<STRING>, platforms ARRAY<STRING>, "
-        "game_modes ARRAY<STRING>, developers ARRAY<STRING>, publishers ARRAY<STRING>, "
-        "websites MAP<STRING, STRING>, discovery_source STRING, discovery_date TIMESTAMP_NTZ, "
-        "last_updated TIMESTAMP_NTZ, is_active BOOLEAN, track_app BOOLEAN, track_channel BOOLEAN, "
-        "track_forum BOOLEAN"
+    "dimension": _table(
+        canonical_id=LONG, title=TEXT, slug=TEXT,
+        app_id=LONG, channel_id=TEXT, video_channel_id=TEXT, epic_id=TEXT, gog_id=TEXT,
+        summary=TEXT, first_release_date=MOMENT, cover_url=TEXT,
+        store_description=TEXT, required_age=INT,
+        genres=LIST, themes=LIST, platforms=LIST, game_modes=LIST, developers=LIST, publishers=LIST,
+        websites=LINKS,
+        discovery_source=TEXT, discovery_date=MOMENT, last_updated=MOMENT,
+        is_active=FLAG, track_app=FLAG, track_channel=FLAG, track_forum=FLAG,
     ),
-    "audit_log": _struct(
-        "id BIGINT, logged_at TIMESTAMP_NTZ, discovery_source STRING, discovered BIGINT, "
-        "updated BIGINT, seconds DOUBLE, notes STRING"
+    "audit_log": _table(
+        id=LONG, logged_at=MOMENT, discovery_source=TEXT, discovered=LONG, updated=LONG,
+        seconds=DOUBLE, notes=TEXT,
     ),
-    "hourly_activity": _period_table("hour TIMESTAMP_NTZ", "app_id BIGINT", _CCU, canonical=False),
-    "daily_activity": _period_table("date DATE", "app_id BIGINT", _CCU),
-    "daily_viewers": _period_table("date DATE", "channel_id STRING", _VIEWERS),
-    "ratings_daily": _struct(f"date DATE, canonical_id BIGINT, title STRING, {_RATING}"),
-    "weekly_activity": _period_table("week_start DATE", "app_id BIGINT", _coarse_ccu("days_in_week")),
-    "weekly_viewers": _period_table(
-        "week_start DATE", "channel_id STRING", _coarse_viewers("days_in_week")
-    ),
-    "ratings_weekly": _struct(f"week_start DATE, canonical_id BIGINT, title STRING, {_RATING}"),
-    "monthly_activity": _period_table(
-        "month_start DATE", "app_id BIGINT", _coarse_ccu("weeks_in_month")
-    ),
-    "monthly_viewers": _period_table(
-        "month_start DATE", "channel_id STRING", _coarse_viewers("weeks_in_month")
-    ),
-    "ratings_monthly": _struct(f"month_start DATE, canonical_id BIGINT, title STRING, {_RATING}"),
+    "hourly_activity": _table(hour=MOMENT, app_id=LONG, title=TEXT, **_CCU),
+    "daily_activity": _table(date=DATE, **_APP, **_CCU),
+    "daily_viewers": _table(date=DATE, **_CHANNEL, **_VIEWERS),
+    "ratings_daily": _table(date=DATE, **_ENTITY, **_RATING),
+    "weekly_activity": _coarse_activity("week_start", "days_in_week"),
+    "weekly_viewers": _coarse_viewers("week_start", "days_in_week"),
+    "ratings_weekly": _table(week_start=DATE, **_ENTITY, **_RATING),
+    "monthly_activity": _coarse_activity("month_start", "weeks_in_month"),
+    "monthly_viewers": _coarse_viewers("month_start", "weeks_in_month"),
+    "ratings_monthly": _table(month_start=DATE, **_ENTITY, **_RATING),
 }
 
 KEYS: dict[str, tuple[str, ...]] = {
@@ -101,10 +102,3 @@ KEYS: dict[str, tuple[str, ...]] = {
     "monthly_viewers": ("month_start", "channel_id"),
     "ratings_monthly": ("month_start", "canonical_id"),
 }
-
-# Column each table is partitioned by on disk.
-PERIODS: dict[str, str] = {
-    name: keys[0]
-    for name, keys in KEYS.items()
-    if keys[0] in ("date", "week_start", "month_start")
-}
