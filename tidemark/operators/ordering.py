@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoints
+from tidemark.session import stage
 
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the row offset in the low 33 bits
 
@@ -16,12 +16,11 @@ def global_position(df: DataFrame, order: Sequence[Column], out: str = "position
     """Number all rows 1..n by ``order`` with a range-partitioned sort.
 
     Sorted partitions number their rows locally; the only single-task work is a
-    running sum over one count per partition. The sorted rows are checkpointed
-    so that counts and rows come from the same partition boundaries.
+    running sum over one count per partition. The sorted rows are staged, so
+    that counts and rows come from the same partition boundaries.
     """
-    ensure_checkpoints(df.sparkSession)
-    ordered = df.orderBy(*order).withColumn("__slot", F.monotonically_increasing_id())
-    ordered = ordered.checkpoint()
+    sliced = df.orderBy(*order).withColumn("__slot", F.monotonically_increasing_id())
+    ordered, _path = stage(sliced, "ordered")
     part = F.shiftright("__slot", _SLOT_BITS)
     numbered = ordered.withColumn("__part", part).withColumn(
         "__row", F.col("__slot").bitwiseAND((1 << _SLOT_BITS) - 1)

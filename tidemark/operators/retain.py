@@ -36,8 +36,9 @@ def drop_partitions_before(spark: SparkSession, path: str, column: str, cutoff:
 
     The driver lists one folder per day; no data is read or rewritten.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
+    if not path_exists(spark, path):
+        return 0
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     dropped = 0
     for status in fs.listStatus(root):

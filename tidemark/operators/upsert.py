@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import first_by, latest_by
+from tidemark.session import remove_path, stage
 
 # Metric columns a re-landed sample overwrites; the title stays as first written.
 LANDING_KEYS = {
@@ -149,10 +150,15 @@ def upsert_path(
     Columns starting with an underscore only order the batch and are not stored.
     """
     columns = [c for c in updates.columns if not c.startswith("_")]
-    if not path_exists(spark, path):
-        write_partitions(collapse_last(updates, keys, order).select(*columns), path, [partition])
-        return
-    stored = spark.read.schema(updates.select(*columns).schema).parquet(path)
-    periods = updates.select(partition).distinct()
-    touched = stored.join(periods, partition, "left_semi")
-    write_partitions(replace_rows(touched, updates, keys, order), path, [partition])
+    fresh, staged = stage(collapse_last(updates, keys, order), "updates")
+    try:
+        if not path_exists(spark, path):
+            write_partitions(fresh.select(*columns), path, [partition])
+            return
+        stored = spark.read.schema(fresh.select(*columns).schema).parquet(path)
+        touched = stored.join(fresh.select(partition).distinct(), partition, "left_semi")
+        untouched = touched.join(fresh.select(*keys), list(keys), "left_anti")
+        merged = untouched.select(*columns).unionByName(fresh.select(*columns))
+        write_partitions(merged, path, [partition])
+    finally:
+        remove_path(spark, staged)

@@ -1 +1,194 @@
-"""x"""
+"""End-to-end jobs, reported as row counts or resulting tables."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from pyspark.sql import functions as F
+
+from tidemark.clock import Range, within
+from tidemark.plans import jobs
+from tidemark.plans.store import Store
+from tidemark.queries.binding import AS_OF_TS, CATALOGUE_NOW
+from tidemark.queries.registry import ORACLES, query, rounded
+from tidemark.queries.rollups import _CCU
+from tidemark.schemas import TABLES
+from tidemark.session import scratch_path
+
+
+def _inputs(m):
+    return jobs.Inputs(m.raw_activity, m.raw_viewers, m.raw_ratings, m.dim)
+
+
+def _feeds(m):
+    return jobs.Feeds(
+        m.catalogue, m.external_ids, m.player_counts, m.live_feed, m.catalogue_landed, m.store_landed
+    )
+
+
+def _counts(m, paths):
+    report = None
+    for name, path in paths.items():
+        rows = m.spark.read.schema("present STRING").json(path)
+        line = rows.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("output"), "records")
+        report = line if report is None else report.unionByName(line)
+    return report
+
+
+_EXPORTED = [
+    "export_dimension", "rankings_activity", "rankings_viewers", "unified_rankings",
+    "export_activity_daily", "export_viewers_daily", "export_ratings_daily", "unified_daily",
+    "export_activity_weekly", "export_viewers_weekly", "export_ratings_weekly",
+    "export_activity_monthly", "export_viewers_monthly", "export_ratings_monthly",
+    "export_activity_hourly",
+]
+
+
+def _counts_sql():
+    from tidemark.queries import exports  # noqa: F401  (registers the statements used here)
+
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS output, COUNT(*) AS records FROM ({ORACLES[name]})" for name in _EXPORTED
+    )
+
+
+@query("job_full", _counts_sql())
+def _(m):
+    """Backfill of all days, cascade to months, retention, all exports."""
+    store = Store(m.spark, scratch_path(m.spark, "store"))
+    out = scratch_path(m.spark, "exports")
+    return _counts(m, jobs.run_cascade(store, _inputs(m), AS_OF_TS, out, since=date(2024, 1, 1)))
+
+
+@query("job_export_only", _counts_sql())
+def _(m):
+    """Exports from tables that are already stored."""
+    store = Store(m.spark, scratch_path(m.spark, "store"))
+    for table in ("hourly_activity", "daily_activity", "daily_viewers", "ratings_daily",
+                  "weekly_activity", "weekly_viewers", "ratings_weekly",
+                  "monthly_activity", "monthly_viewers", "ratings_monthly"):
+        store.upsert(table, getattr(m, table)().withColumn("_order", F.lit(0)), ["_order"])
+    return _counts(m, jobs.export_all(store, m.dim, AS_OF_TS, scratch_path(m.spark, "exports")))
+
+
+@query("job_incremental", f"SELECT date, canonical_id, app_id, title, {_CCU} FROM daily_activity")
+def _(m):
+    """Two refreshes of the daily table: up to the 20th, then from the 18th on."""
+    store = Store(m.spark, scratch_path(m.spark, "store"))
+    jobs.refresh_daily(store, _inputs(m), date(2024, 1, 1), date(2024, 1, 20))
+    jobs.refresh_daily(store, _inputs(m), date(2024, 1, 18), date(2024, 1, 30))
+    return rounded(store.rows("daily_activity"))
+
+
+_DISCOVERED = """
+    SELECT id AS canonical_id, COALESCE(name, 'Game ' || CAST(id AS VARCHAR)) AS title,
+           ROW_NUMBER() OVER (ORDER BY rating_count DESC, id) AS discovery_rank
+    FROM catalogue WHERE rating_count > 50 ORDER BY rating_count DESC, id LIMIT 100"""
+
+
+@query(
+    "job_discover",
+    f"""SELECT canonical_id, title, enriched, discovery_source, discovery_rank FROM worklist
+        UNION ALL
+        SELECT canonical_id, title, FALSE, 'igdb-popular', discovery_rank FROM ({_DISCOVERED}) p
+        WHERE NOT EXISTS (SELECT 1 FROM worklist w WHERE w.canonical_id = p.canonical_id)
+        UNION ALL
+        SELECT CAST(1 AS BIGINT), 'Discovered 100 games from igdb-popular', NULL, 'igdb-popular', COUNT(*)
+        FROM ({_DISCOVERED}) p WHERE NOT EXISTS (SELECT 1 FROM worklist w WHERE w.canonical_id = p.canonical_id)""",
+)
+def _(m):
+    """The work list after discovery, followed by the audit entry."""
+    log = m.spark.createDataFrame([], TABLES["audit_log"])
+    worklist, logged = jobs.discover_into(m.worklist, log, _feeds(m), "igdb-popular", CATALOGUE_NOW)
+    entry = logged.select(
+        F.col("id").alias("canonical_id"), F.col("notes").alias("title"),
+        F.lit(None).cast("boolean").alias("enriched"), "discovery_source",
+        F.col("discovered").alias("discovery_rank"),
+    )
+    return worklist.select("canonical_id", "title", "enriched", "discovery_source", "discovery_rank").unionByName(entry)
+
+
+_ENRICHED = """
+    SELECT p.p_partkey AS canonical_id, p.p_name AS title, w.app_id, w.channel_id,
+           CASE WHEN b.p_size > 40 THEN 18 WHEN b.p_size IS NOT NULL THEN 0 END AS required_age,
+           TRUE AS is_active, FALSE AS track_forum
+    FROM part p LEFT JOIN platform_wide w ON w.canonical_id = p.p_partkey
+    LEFT JOIN store_base b ON b.p_partkey = w.app_id"""
+
+
+@query(
+    "job_enrich",
+    f"""SELECT canonical_id, title, app_id, channel_id, required_age, is_active, track_forum FROM dim
+        UNION ALL {_ENRICHED} JOIN orders o ON o.o_orderkey = p.p_partkey WHERE o.o_totalprice <= 250000""",
+)
+def _(m):
+    """Orders as work list: the pending ones are enriched from the landed payloads."""
+    worklist = m.table("orders").select(
+        F.col("o_orderkey").alias("canonical_id"), F.lit("Order").alias("title"),
+        (F.col("o_totalprice") > 250000).alias("enriched"), F.col("o_orderdate").alias("discovered_at"),
+        F.col("o_orderpriority").alias("discovery_source"),
+        F.col("o_custkey").alias("discovery_rank"),
+    )
+    _marked, dim = jobs.enrich_pending(worklist, m.dim, _feeds(m), CATALOGUE_NOW)
+    return dim.select(
+        "canonical_id", "title", "app_id", "channel_id", "required_age", "is_active", "track_forum"
+    )
+
+
+@query(
+    "job_reload",
+    "SELECT COUNT(*) AS records, COUNT(DISTINCT app_id) AS entities FROM raw_activity",
+)
+def _(m):
+    """Half of the samples are stored, then all are loaded: only the rest is added."""
+    store = Store(m.spark, scratch_path(m.spark, "store"))
+    raw = m.raw_activity
+    jobs.land_batch(store, "activity", within(raw, "ts", Range(None, datetime(2024, 1, 15, 12))))
+    return jobs.reload_parquet(store, raw)
+
+
+@query(
+    "job_land",
+    """SELECT COUNT(*) AS records, COUNT(DISTINCT app_id) AS entities,
+              COUNT(score) AS with_score, COUNT(price_cents) AS with_price FROM raw_activity""",
+)
+def _(m):
+    """A batch of samples landed twice."""
+    store = Store(m.spark, scratch_path(m.spark, "store"))
+    jobs.land_batch(store, "activity", m.raw_activity)
+    return jobs.land_batch(store, "activity", within(m.raw_activity, "ts", Range(datetime(2024, 1, 29))))
+
+
+@query(
+    "job_land_all",
+    """SELECT 'activity' AS source, COUNT(*) AS collected, FALSE AS failed FROM raw_activity
+       UNION ALL SELECT 'viewers', 0, TRUE
+       UNION ALL SELECT 'ratings', COUNT(*), FALSE FROM raw_ratings""",
+)
+def _(m):
+    """One source cannot be read; the others land."""
+
+    def unreachable():
+        raise ConnectionError("source is down")
+
+    store = Store(m.spark, scratch_path(m.spark, "store"))
+    report = jobs.land_all(
+        store,
+        {
+            "activity": lambda: m.raw_activity,
+            "viewers": unreachable,
+            "ratings": lambda: m.raw_ratings,
+        },
+    )
+    return report.select("source", "collected", F.col("error").isNotNull().alias("failed"))
+
+
+@query(
+    "job_discover_enrich",
+    f"SELECT e.* FROM ({_ENRICHED}) e JOIN ({_DISCOVERED}) d ON d.canonical_id = e.canonical_id",
+)
+def _(m):
+    rows = jobs.discover_and_enrich(_feeds(m), CATALOGUE_NOW)
+    return rows.select(
+        "canonical_id", "title", "app_id", "channel_id", "required_age", "is_active", "track_forum"
+    )

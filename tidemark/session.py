@@ -1,11 +1,11 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings and the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -64,7 +64,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable without overriding the cluster's folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Used where a result feeds several branches: its inputs are computed once,
+    all branches see the same rows, and a lost executor costs no recomputation.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
