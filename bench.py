@@ -64,7 +64,7 @@ def duckdb_seconds(names: list[str], sf_dir: str, cpus: int, runs: int) -> dict[
     for path in Path(sf_dir).glob("*.parquet"):
         con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     return {
-        n: median_seconds(lambda sql=ORACLES[n]: con.execute(sql).fetch_arrow_table(), runs)
+        n: median_seconds(lambda sql=ORACLES[n]: con.execute(sql).fetchall(), runs)
         for n in names
         if n in ORACLES
     }

@@ -104,8 +104,9 @@ def test_top_n_per_hot_key(spark, got):
     )
     pdf = frame.toPandas().sort_values(["v", "id"], ascending=[False, True])
     want = sorted(map(tuple, pdf.groupby("key").head(100)[["key", "id"]].values.tolist()), key=repr)
-    top = top_n_per_key(frame, ["key"], [F.col("v").desc(), F.col("id")], 100)
-    assert got(top, "key", "id") == want
+    for salts in (0, 16):
+        top = top_n_per_key(frame, ["key"], [F.col("v").desc(), F.col("id")], 100, salts=salts)
+        assert got(top, "key", "id") == want
     assert got(ranked_top(frame, [F.col("v").desc(), F.col("id")], 2), "position") == [(1,), (2,)]
 
 

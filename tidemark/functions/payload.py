@@ -131,14 +131,16 @@ def price_info(data: Column) -> Column:
 
 
 def _successful(landed: DataFrame) -> DataFrame:
-    """Payload entries filed under their own app id and flagged as successful."""
-    parsed = landed.withColumn("__all", F.from_json("payload", STORE_SCHEMA))
-    entry = F.try_element_at("__all", F.col("app_id").cast("string"))
-    return (
-        parsed.withColumn("__entry", entry)
-        .where(F.col("__entry.success"))
-        .withColumn("data", F.col("__entry.data"))
-        .drop("__all", "__entry")
+    """Payload entries filed under their own app id and flagged as successful.
+
+    Exploding the zero or one usable entries keeps the parsing in one place: a
+    filter on the parsed entry would be pushed below and parse once more.
+    """
+    parsed = F.from_json("payload", STORE_SCHEMA)
+    entry = F.try_element_at(parsed, F.col("app_id").cast("string"))
+    usable = F.filter(F.array(entry), lambda e: F.coalesce(e["success"], F.lit(False)))
+    return landed.select("app_id", F.explode(usable).alias("__entry")).select(
+        "app_id", F.col("__entry.data").alias("data")
     )
 
 
@@ -252,23 +254,31 @@ def external_platform(source: Column) -> Column:
     return F.coalesce(known, F.concat(F.lit("unknown_"), source.cast("string")))
 
 
-def external_ids(rows: DataFrame) -> DataFrame:
-    """(canonical_id, platform, uid): the last usable uid of every platform."""
-    usable = rows.where(
+def _usable_ids(rows: DataFrame) -> DataFrame:
+    return rows.where(
         F.col("uid").isNotNull() & (F.col("uid") != "") & F.col("source").isNotNull()
         & (F.col("source") != 0)
-    ).withColumn("platform", external_platform(F.col("source")))
-    return latest_by(usable, ["canonical_id", "platform"], ["position"], ["uid"])
+    )
+
+
+def external_ids(rows: DataFrame) -> DataFrame:
+    """(canonical_id, platform, uid): the last usable uid of every platform."""
+    named = _usable_ids(rows).withColumn("platform", external_platform(F.col("source")))
+    return latest_by(named, ["canonical_id", "platform"], ["position"], ["uid"])
 
 
 def external_ids_pivot(rows: DataFrame) -> DataFrame:
-    """One row per entity with its five platform ids."""
-    ids = external_ids(rows)
+    """One row per entity with its five platform ids, in one aggregation.
+
+    Entities whose ids all belong to other platforms keep a row of NULLs.
+    """
+    codes = {platform: code for code, platform in EXTERNAL_SOURCES.items()}
+    last = F.struct("position", "uid")
     picked = [
-        F.max(F.when(F.col("platform") == platform, F.col("uid"))).alias(column)
+        F.max(F.when(F.col("source") == codes[platform], last))["uid"].alias(column)
         for platform, column in PLATFORM_ID_COLUMNS.items()
     ]
-    wide = ids.groupBy("canonical_id").agg(*picked)
+    wide = _usable_ids(rows).groupBy("canonical_id").agg(*picked)
     return wide.withColumn("app_id", F.expr("try_cast(app_id AS BIGINT)"))
 
 

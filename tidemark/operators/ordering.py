@@ -43,22 +43,23 @@ def ranked_top(df: DataFrame, order: Sequence[Column], n: int, out: str = "posit
 
 
 def top_n_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, out: str = "__rank"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    out: str = "__rank",
+    salts: int = 0,
 ) -> DataFrame:
     """The first ``n`` rows of every key.
 
-    ``row_number() <= n`` makes Spark prune each map task to ``n`` rows per key
-    before the shuffle. The salted first pass then bounds the last one: a hot
-    key reaches its final task as at most ``n`` rows per salt.
+    ``row_number() <= n`` makes Spark prune every map task to ``n`` rows per
+    key before the shuffle, so a hot key arrives as at most ``n`` rows per map
+    task. With very many map tasks, ``salts`` adds a pass that bounds the last
+    one to ``n`` rows per salt, for the price of a second shuffle.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in keys]), F.lit(32))
-    salted = Window.partitionBy(*keys, "__salt").orderBy(*order)
-    final = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("__salt", salt)
-        .withColumn(out, F.row_number().over(salted))
-        .where(F.col(out) <= n)
-        .drop(out, "__salt")
-        .withColumn(out, F.row_number().over(final))
-        .where(F.col(out) <= n)
-    )
+    if salts:
+        rest = [F.col(c) for c in df.columns if c not in keys]
+        spread = df.withColumn("__salt", F.pmod(F.xxhash64(*rest), F.lit(salts)))
+        df = top_n_per_key(spread, [*keys, "__salt"], order, n, out).drop(out, "__salt")
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(out, F.row_number().over(window)).where(F.col(out) <= n)

@@ -26,18 +26,20 @@ def viewership(requested: DataFrame, streams: DataFrame, cap: int | None = PAGE_
     With ``cap`` the sums cover the upstream page only; ``None`` sums every
     stream by a plain aggregate. Entities without streams report zeros.
     """
-    page = streams if cap is None else top_n_per_key(
-        streams, ["channel_id"], stream_order(), cap, "stream_rank"
-    )
-    totals = page.groupBy("channel_id").agg(
+    stream = F.struct("stream_rank", "user_name", "viewer_count", "stream_title")
+    measures = [
         F.sum("viewer_count").alias("viewer_count"), F.count(F.lit(1)).alias("channel_count")
-    )
-    leaders = top_streams(streams).groupBy("channel_id").agg(  # at most three rows per key
-        F.array_sort(
-            F.collect_list(F.struct("stream_rank", "user_name", "viewer_count", "stream_title"))
-        ).alias("top_streams")
-    )
-    joined = requested.join(totals, "channel_id", "left").join(leaders, "channel_id", "left")
+    ]
+    # collect_list skips NULLs, so it gathers at most three streams per entity.
+    leader = F.when(F.col("stream_rank") <= TOP_STREAMS, stream)
+    leaders = F.array_sort(F.collect_list(leader)).alias("top_streams")
+    if cap is not None:
+        page = top_n_per_key(streams, ["channel_id"], stream_order(), cap, "stream_rank")
+        found = page.groupBy("channel_id").agg(*measures, leaders)
+    else:
+        totals = streams.groupBy("channel_id").agg(*measures)
+        found = totals.join(top_streams(streams).groupBy("channel_id").agg(leaders), "channel_id")
+    joined = requested.join(found, "channel_id", "left")
     shape = "array<struct<stream_rank:int,user_name:string,viewer_count:bigint,stream_title:string>>"
     return joined.select(
         *requested.columns,

@@ -12,6 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.clock import EVERYTHING, Range
 from tidemark.functions import payload
@@ -22,9 +23,12 @@ AS_OF = date(2024, 1, 30)
 AS_OF_TS = datetime(2024, 1, 30, 23, 30)
 CATALOGUE_NOW = datetime(2001, 3, 1)
 
+_SCHEMAS: dict[str, StructType] = {}
 
-def _text(value: str | None) -> Column:
-    return F.lit(value).cast("string")
+# One second per customer key, from the given day of January.
+_SECONDS = (
+    "timestamp_ntz'2024-01-{} 00:00:00' + make_dt_interval(0, 0, 0, cast(c_custkey AS decimal(18, 6)))"
+)
 
 
 def _cat(*parts: str | Column) -> Column:
@@ -40,7 +44,11 @@ class Model:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A test table; its schema is read from the files once per process."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # -- samples ---------------------------------------------------------
     def events(self, *kinds: str) -> DataFrame:
@@ -74,60 +82,47 @@ class Model:
     # -- entities --------------------------------------------------------
     @cached_property
     def dim(self) -> DataFrame:
-        c = self.table("customer")
-        key, balance, nation = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_nationkey")
-        segment = F.col("c_mktsegment")
-        seconds = F.make_dt_interval(secs=key.cast("decimal(18,6)"))
-        no_strings = F.array().cast("array<string>")
-        return c.select(
-            (key + 100000).alias("canonical_id"),
-            F.col("c_name").alias("title"),
-            F.lower(F.replace("c_name", F.lit("#"), F.lit("-"))).alias("slug"),
-            F.when(balance >= 0, key).alias("app_id"),
-            F.when(balance < 0, "").when(segment != "BUILDING", key.cast("string")).alias("channel_id"),
-            _text(None).alias("video_channel_id"),
-            F.when(nation > 20, _cat("e", key)).alias("epic_id"),
-            _text(None).alias("gog_id"),
-            F.when(balance > 9000, "").otherwise(_cat(F.col("c_name"), " in ", segment)).alias("summary"),
-            F.when(
-                nation > 0,
-                F.lit("2000-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=nation),
-            ).alias("first_release_date"),
-            F.when(balance >= 500, _cat("https://img/t_cover_big/", key, ".jpg")).alias("cover_url"),
-            F.when((nation >= 5) & (nation < 8), "").when(nation >= 8, _cat(segment, " store")).alias(
-                "store_description"
-            ),
-            nation.alias("required_age"),
-            F.when(nation < 24, F.array(segment)).alias("genres"),
-            F.array(_cat("Theme ", nation), F.lit("Shared")).alias("themes"),
-            F.when(nation < 3, no_strings)
-            .when(nation < 9, F.array(F.lit("pc"), F.lit("linux")))
-            .otherwise(F.array(F.lit("pc"), F.lit("linux"), F.lit("mac"), F.lit("web")))
-            .alias("platforms"),
-            no_strings.alias("game_modes"),
-            F.when(nation > 1, F.array(_cat("Dev ", nation), segment)).alias("developers"),
-            F.array(_cat("Pub ", nation)).alias("publishers"),
-            F.create_map(F.lit("official"), _cat("https://o/", key)).alias("websites"),
-            segment.alias("discovery_source"),
-            (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + seconds).alias("discovery_date"),
-            (F.lit("2024-01-02 00:00:00").cast("timestamp_ntz") + seconds).alias("last_updated"),
-            (segment != "MACHINERY").alias("is_active"),
-            (nation != 3).alias("track_app"),
-            (nation != 5).alias("track_channel"),
-            F.lit(False).alias("track_forum"),
+        return self.table("customer").selectExpr(
+            "c_custkey + 100000 AS canonical_id",
+            "c_name AS title",
+            "lower(replace(c_name, '#', '-')) AS slug",
+            "if(c_acctbal >= 0, c_custkey, NULL) AS app_id",
+            "CASE WHEN c_acctbal < 0 THEN '' WHEN c_mktsegment != 'BUILDING' THEN string(c_custkey) END AS channel_id",
+            "string(NULL) AS video_channel_id",
+            "if(c_nationkey > 20, 'e' || c_custkey, NULL) AS epic_id",
+            "string(NULL) AS gog_id",
+            "if(c_acctbal > 9000, '', c_name || ' in ' || c_mktsegment) AS summary",
+            "if(c_nationkey > 0, timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(c_nationkey), NULL) AS first_release_date",
+            "if(c_acctbal >= 500, 'https://img/t_cover_big/' || c_custkey || '.jpg', NULL) AS cover_url",
+            "CASE WHEN c_nationkey >= 8 THEN c_mktsegment || ' store' WHEN c_nationkey >= 5 THEN '' END AS store_description",
+            "c_nationkey AS required_age",
+            "if(c_nationkey < 24, array(c_mktsegment), NULL) AS genres",
+            "array('Theme ' || c_nationkey, 'Shared') AS themes",
+            """CASE WHEN c_nationkey < 3 THEN cast(array() AS array<string>)
+                    WHEN c_nationkey < 9 THEN array('pc', 'linux')
+                    ELSE array('pc', 'linux', 'mac', 'web') END AS platforms""",
+            "cast(array() AS array<string>) AS game_modes",
+            "if(c_nationkey > 1, array('Dev ' || c_nationkey, c_mktsegment), NULL) AS developers",
+            "array('Pub ' || c_nationkey) AS publishers",
+            "map('official', 'https://o/' || c_custkey) AS websites",
+            "c_mktsegment AS discovery_source",
+            f"{_SECONDS.format('01')} AS discovery_date",
+            f"{_SECONDS.format('02')} AS last_updated",
+            "c_mktsegment != 'MACHINERY' AS is_active",
+            "c_nationkey != 3 AS track_app",
+            "c_nationkey != 5 AS track_channel",
+            "false AS track_forum",
         )
 
     @cached_property
     def worklist(self) -> DataFrame:
-        c = self.table("customer")
-        seconds = F.make_dt_interval(secs=F.col("c_custkey").cast("decimal(18,6)"))
-        return c.select(
-            (F.col("c_custkey") + 100000).alias("canonical_id"),
-            F.col("c_name").alias("title"),
-            (F.col("c_acctbal") > 5000).alias("enriched"),
-            (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + seconds).alias("discovered_at"),
-            F.col("c_mktsegment").alias("discovery_source"),
-            F.col("c_nationkey").cast("bigint").alias("discovery_rank"),
+        return self.table("customer").selectExpr(
+            "c_custkey + 100000 AS canonical_id",
+            "c_name AS title",
+            "c_acctbal > 5000 AS enriched",
+            f"{_SECONDS.format('01')} AS discovered_at",
+            "c_mktsegment AS discovery_source",
+            "bigint(c_nationkey) AS discovery_rank",
         )
 
     # -- period tables ---------------------------------------------------

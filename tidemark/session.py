@@ -13,6 +13,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call-site capture costs several JVM round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 CLUSTER_CONF = {
