@@ -53,8 +53,9 @@ def differences(spark_df, con, sql: str) -> list[str]:
     if len(left) != len(right):
         found.append(f"rows {len(left)} vs {len(right)}")
     if left != right:
-        only_l = [r for r in left if r not in set(right)][:2]
-        only_r = [r for r in right if r not in set(left)][:2]
+        in_left, in_right = set(left), set(right)
+        only_l = [r for r in left if r not in in_right][:2]
+        only_r = [r for r in right if r not in in_left][:2]
         found.append(f"values {sorted(names)}\n   spark {only_l}\n   duck  {only_r}")
     if not left:
         found.append("EMPTY")

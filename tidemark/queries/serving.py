@@ -159,7 +159,7 @@ def _(m):
 @query(
     "format_metric",
     """SELECT event_id, FORMAT('{:,}', CAST(FLOOR(value * 100 + 0.5) AS BIGINT)) AS whole,
-              CASE WHEN value * 4 = FLOOR(value * 4) AND CAST(FLOOR(value * 4) AS BIGINT) % 2 = 1
+              CASE WHEN value = 0 THEN 'N/A' WHEN value * 4 = FLOOR(value * 4) AND CAST(FLOOR(value * 4) AS BIGINT) % 2 = 1
                    THEN PRINTF('%.1f', value + 0.01) ELSE PRINTF('%.1f', value) END AS one_decimal,
               CASE WHEN k = 0 THEN 'N/A' ELSE CAST(k AS VARCHAR) END AS score
        FROM ev""",

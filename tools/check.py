@@ -41,7 +41,7 @@ def main(sf: str, names: list[str]) -> int:
         bad += bool(problems)
         state = "ok  " if not problems else "FAIL"
         kind = "S" if name in ORACLES else "R"
-        print(f"{state} {kind} {name} {time.time() - began:.2f}s", *problems, sep="\n   " if problems else " ")
+        print(f"{state} {kind} {name} {time.time() - began:.2f}s", *problems, sep="\n   " if problems else " ", flush=True)
     print(f"{len(chosen)} queries, {bad} bad")
     return bad
 
