@@ -62,7 +62,8 @@ def duckdb_seconds(names: list[str], sf_dir: str, cpus: int, runs: int) -> dict[
     con = duckdb.connect()
     con.execute(f"SET threads = {cpus}")
     for path in Path(sf_dir).glob("*.parquet"):
-        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+        files = f"{path}/*.parquet" if path.is_dir() else str(path)
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{files}'")
     return {
         n: median_seconds(lambda sql=ORACLES[n]: con.execute(sql).fetchall(), runs)
         for n in names

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.clock import literal_for
@@ -85,20 +85,23 @@ def trending_activity(feed: DataFrame, limit: int = 100) -> DataFrame:
 FEATURED = ("featured_win", "featured_mac", "featured_linux", "large_capsules")
 
 
+def _ranked_items(category: str, rank: int) -> Column:
+    """Items of one category array with their reading position."""
+    shape = "array<struct<category_rank:int,slot:int,key:string,title:string>>"
+    items = F.transform(
+        category,
+        lambda item, slot: F.struct(
+            F.lit(rank).alias("category_rank"), slot.alias("slot"),
+            item["id"].cast("string").alias("key"), item["name"].alias("title"),
+        ),
+    )
+    return F.coalesce(items.cast(shape), F.array().cast(shape))
+
+
 def featured(payload: DataFrame) -> DataFrame:
     """Union of the four category arrays; the first mention of an id names it."""
-    exploded = None
-    for rank, category in enumerate(FEATURED):
-        rows = payload.select(
-            F.lit(rank).alias("category_rank"),
-            "page",
-            F.posexplode(category).alias("slot", "item"),
-        )
-        exploded = rows if exploded is None else exploded.unionByName(rows)
-    items = exploded.select(
-        "category_rank", "page", "slot",
-        F.col("item.id").alias("key"), F.col("item.name").alias("title"),
-    )
+    every = F.concat(*[_ranked_items(c, rank) for rank, c in enumerate(FEATURED)])
+    items = payload.select("page", F.explode(every).alias("item")).select("page", "item.*")
     return first_by(
         numeric_feed(items), ["app_id"], ["category_rank", "page", "slot"],
         ["title", "category_rank"],
