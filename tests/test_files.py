@@ -1,6 +1,6 @@
 import os
 import time
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,7 +95,7 @@ def _tree(root, ages):
 
 def test_old_files(spark, tmp_path):
     _tree(tmp_path, [40, 35, 10, 5])
-    now = datetime.now(__import__("datetime").timezone.utc).replace(tzinfo=None)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
     plan = retain.file_retention_plan(spark, str(tmp_path), now, 30)
     assert retain.file_retention_summary(plan).collect()[0].asDict() == {"files_deleted": 2, "bytes_freed": 20}
     report = retain.delete_old_files(spark, str(tmp_path), now, 30, dry_run=True)
