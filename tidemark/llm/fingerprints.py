@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.jaccard_join import classes, named_text, set_id
+from tidemark.llm.jaccard_join import classes, named_text, profiled, set_id
 from tidemark.llm.prefix_tree import Similar
 from tidemark.llm.shared import WORD, shuffle_partitions
 from tidemark.llm.shingles import mix, shingle_hashes, shingle_set, word_hashes
@@ -154,7 +154,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     docs = named_text(docs, id_col, text_col)
     filled = docs.where(F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD)))
-    return classes(docs, band_keys(filled), SHINGLE, Similar(4, 5))
+    profile, nodes = profiled(docs, SHINGLE)
+    return classes(docs, profile, nodes, band_keys(filled), SHINGLE, Similar(4, 5))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 """N-gram Jaccard self-join: one row per document with the component of its links.
 
 1. Equal shingle sets are one node, so copies cost one row each and no pair.
-2. Shingles are counted over all documents, in packed arrays by hash range; the
-   most frequent ones (at most ``HEAVY``, a fixed number) come last in the global
-   order, the others are ordered by hash. Any order is right; this one keeps
-   passages that many documents share out of the prefixes.
+2. Shingles are counted over all documents, in packed arrays by hash range. In the
+   global order those that occur once come first, then the others, the most
+   frequent ones (at most ``HEAVY``, a fixed number) last. Which occur once is told by
+   a bit map as large as the number of shingles, up to a fixed size; beyond it more
+   of them count as repeated. Any order is right; this one keeps passages that
+   many documents share out of the prefixes.
 3. Two similar sets share an element of their prefixes. Every node is linked to the
    smallest node of each of its prefix elements: one link per node and element,
    never the pairs. Components of these links contain all similar pairs.
@@ -17,12 +19,14 @@ Equality of shingles and of sets is equality of 64-bit hashes.
 
 Defined cases: NULL, empty and blank texts have an empty set and are linked with
 nothing; a text of fewer words than ``n`` has one shingle, its whole sequence;
-repeated rows (also of one id) are each returned; NULL ids count as the smallest
-only if a component has no other; an empty table gives an empty result.
+repeated rows (also of one id) are each returned; a row with a NULL id belongs to the
+component of an equal set with an id and else to none (NULL); an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,34 +37,38 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.prefix_tree import Groups, PrefixTree, Similar
 from tidemark.llm.shared import shuffle_partitions
-from tidemark.llm.shingles import mix, shingle_set
+from tidemark.llm.shingles import shingle_set
 from tidemark.session import stage
 
-HEAVY = 1 << 18
+HEAVY = 1 << 20
+#: The bit map of shingles that occur more than once has at most 2 to this power bits (128 MB).
+MAP_BITS = 30
 #: Shingles that one block of a component may hold, unless a single set is larger.
 BLOCK = 1 << 18
-_FINE = 40  # bits of a shingle hash that tell its frequency apart
 
 
 def set_id(elements: np.ndarray) -> int:
-    """A 64-bit name of a set that does not depend on the order."""
-    with np.errstate(over="ignore"):
-        a = mix(elements).sum(dtype=np.uint64)
-        b = mix(elements ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
-        both = mix(np.array([a + np.uint64(len(elements))], np.uint64)) ^ b
-    return int(mix(both).view(np.int64)[0])
+    """A 64-bit name of a sorted set."""
+    return int.from_bytes(hashlib.blake2b(elements.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _arrow(columns: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that a task holds few sets at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def profiles(docs: DataFrame, n: int) -> DataFrame:
     """``doc_id, n_shingles, node`` of ``doc_id, text``."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = (shingle_set(t, n) for t in batch.column(1).to_pylist())
             rows = [(len(s), set_id(s)) for s in sets]
             yield _arrow([batch.column(0), [r[0] for r in rows], [r[1] for r in rows]], schema)
@@ -68,61 +76,148 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(profile, "doc_id long, n_shingles long, node long")
 
 
-def heavy_shingles(docs: DataFrame, n: int, limit: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles (their first 40 bits, sorted) and their frequencies.
+def bit_map(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A map of ``1 << bits`` bits, set where a ``hash`` begins with their number.
+
+    Executors pack 65,536 bits at a time; the driver gets the packed map alone.
+    """
+    inner = min(16, bits)
+
+    def pack(key, table):
+        marked = np.zeros(1 << inner, bool)
+        marked[table["cell"].to_numpy()] = True
+        return pa.table({
+            "chunk": pa.array([key[0].as_py()], pa.int32()),
+            "packed": pa.array([np.packbits(marked, bitorder="little").tobytes()], pa.binary()),
+        })
+
+    cells = hashes.select(F.shiftrightunsigned("hash", 64 - bits).alias("at")).distinct().select(
+        F.shiftright("at", inner).cast("int").alias("chunk"), F.col("at").bitwiseAND((1 << inner) - 1).alias("cell")
+    )
+    packed = np.zeros((1 << bits) // 8, np.uint8)
+    width = (1 << inner) // 8
+    for row in cells.groupBy("chunk").applyInArrow(pack, "chunk int, packed binary").toArrow().to_pylist():
+        packed[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(row["packed"], np.uint8)
+    return packed
+
+
+def marked(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the map has the bits of 64-bit hashes."""
+    at = hashes >> np.uint64(64 - (8 * len(packed)).bit_length() + 1)
+    return (packed[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def only_with(docs: DataFrame, ids: DataFrame, count: int, without: bool = False) -> DataFrame:
+    """``doc_id, text`` rows whose id may be among ``ids``: few others, none of those missing.
 
-    Shingles travel as packed 32-bit arrays, one row per batch and hash range.
-    Every range returns at most its part of ``limit``.
+    A bounded bit map is broadcast, so the texts of the other documents are not
+    shuffled. ``without``: all other rows.
     """
-    bits = max(8, shuffle_partitions(docs.sparkSession).bit_length())
-    ranges, low = 1 << bits, _FINE - bits
+    hashed = F.xxhash64("doc_id")
+    packed = bit_map(ids.select(hashed.alias("hash")), min(MAP_BITS, max(10, (16 * count).bit_length())))
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = marked(shared.value, batch.column(2).to_numpy().view(np.uint64))
+            yield batch.select(["doc_id", "text"]).filter(pa.array(found != without))
+
+    return docs.select("doc_id", "text", hashed.alias("hash")).mapInArrow(keep, "doc_id long, text string")
+
+
+class Frequencies:
+    """How often shingles occur: which occur more than once, and how often the most frequent do.
+
+    ``seen`` is a bit map of shingles that occur in two documents. ``fine`` and ``df`` are
+    the most frequent shingles by their first ``bits`` bits, sorted, and their numbers of
+    documents.
+    """
+
+    def __init__(self, bits: int, seen: np.ndarray, fine: np.ndarray, df: np.ndarray):
+        self.bits, self.seen, self.fine, self.df = bits, seen, fine, df
+
+    def weights(self, tokens: np.ndarray) -> np.ndarray:
+        """0 for shingles that occur once, the number of documents for frequent ones, else 1."""
+        weight = marked(self.seen, tokens).astype(np.int64)
+        if len(self.fine):
+            fine = tokens >> np.uint64(64 - self.bits)
+            where = np.minimum(np.searchsorted(self.fine, fine), len(self.fine) - 1)
+            weight = np.where(self.fine[where] == fine, self.df[where], weight)
+        return weight
+
+
+def frequencies(docs: DataFrame, n: int, shingles: int, limit: int = HEAVY) -> Frequencies:
+    """Counts all shingles of all documents; ``shingles`` is their number.
+
+    Shingles travel as packed arrays, one row per batch and hash range, cut to as
+    many bytes as keep nearly all of them apart (16 values for each). Every range
+    returns its part of the bit map and at most its part of ``limit``.
+    """
+    ranged = max(8, shuffle_partitions(docs.sparkSession).bit_length())
+    width = min(6, max(1, -(-((16 * max(1, shingles)).bit_length() - ranged) // 8)))
+    bits, low = ranged + 8 * width, 8 * width
+    inner = max(3, min(MAP_BITS, max(1, shingles).bit_length()) - ranged)
+    ranges = 1 << ranged
     schema = pa.schema([("range", pa.int32()), ("packed", pa.binary())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingle_set(t, n) for t in batch.column(1).to_pylist()]
-            fine = np.sort(np.concatenate(sets or [np.zeros(0, np.uint64)]) >> np.uint64(64 - _FINE))
+            fine = np.sort(np.concatenate(sets or [np.zeros(0, np.uint64)]) >> np.uint64(64 - bits))
             cuts = np.searchsorted(fine >> np.uint64(low), np.arange(ranges + 1, dtype=np.uint64))
-            packed = (fine & np.uint64((1 << low) - 1)).astype("<u4")
+            packed = fine.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
             full = np.flatnonzero(cuts[1:] > cuts[:-1])
             yield _arrow([full.astype(np.int32), [packed[cuts[r] : cuts[r + 1]].tobytes() for r in full]], schema)
 
     def count(key, table):
-        every = np.frombuffer(b"".join(table["packed"].to_pylist()), "<u4")
-        values, counts = np.unique(every, return_counts=True)
-        keep = np.flatnonzero(counts > 1)
-        keep = keep[np.lexsort((values[keep], -counts[keep]))[: max(1, limit // ranges)]]
-        fine = (key[0].as_py() << low) + values[keep].astype(np.int64)
-        return pa.table({"fine": pa.array(fine, pa.int64()), "df": pa.array(counts[keep], pa.int64())})
+        raw = np.frombuffer(b"".join(table["packed"].to_pylist()), np.uint8).reshape(-1, width)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :width] = raw
+        every = np.sort(wide.view("<u8").ravel())
+        first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+        counts = np.diff(np.append(first, len(every)))
+        values, counts = every[first][counts > 1], counts[counts > 1]
+        seen = np.zeros(1 << inner, bool)
+        seen[values >> np.uint64(low - inner) if low >= inner else values << np.uint64(inner - low)] = True
+        top = np.sort(np.lexsort((values, -counts))[: max(1, limit // ranges)])
+        fine = (np.uint64(key[0].as_py()) << np.uint64(low)) + values[top]
+        return pa.table({
+            "range": pa.array([key[0].as_py()], pa.int32()),
+            "seen": pa.array([np.packbits(seen, bitorder="little").tobytes()], pa.binary()),
+            "fine": pa.array([fine.astype("<u8").tobytes()], pa.binary()),
+            "df": pa.array([counts[top].astype(np.int64).tobytes()], pa.binary()),
+        })
 
     packed = docs.mapInArrow(pack, "range int, packed binary")
-    table = packed.groupBy("range").applyInArrow(count, "fine long, df long").toArrow()  # at most ``limit`` rows
-    fine, df = table["fine"].to_numpy(), table["df"].to_numpy()
-    order = np.argsort(fine)
-    return fine[order].astype(np.uint64), df[order]
-
-
-def prefixes(docs: DataFrame, n: int, similar: Similar, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``element, node``: the prefix of every set in the global order."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)  # at most HEAVY entries
+    # At most 1 << MAP_BITS bits and ``limit`` shingles come to the driver.
+    found = packed.groupBy("range").applyInArrow(count, "range int, seen binary, fine binary, df binary").toArrow()
+    rows = sorted(found.to_pylist(), key=lambda r: r["range"])
+    part = (1 << inner) // 8
+    seen = np.zeros(ranges * part, np.uint8)
+    for row in rows:
+        seen[row["range"] * part : (row["range"] + 1) * part] = np.frombuffer(row["seen"], np.uint8)
+    fine, df = (np.frombuffer(b"".join(r[c] for r in rows), t) for c, t in (("fine", np.uint64), ("df", np.int64)))
+    return Frequencies(bits, seen, fine, df)
+
+
+def prefixes(docs: DataFrame, n: int, similar: Similar, known: Frequencies) -> DataFrame:
+    """``element, node``: the prefix of every set in the global order, without what occurs once."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)  # bounded by MAP_BITS and HEAVY
     schema = pa.schema([("element", pa.int64()), ("node", pa.int64())])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, df = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             elements, nodes = [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingle_set(text, n)
                 if not len(tokens):
                     continue
-                weight = np.zeros(len(tokens), np.int64)
-                if len(known):
-                    fine = tokens >> np.uint64(64 - _FINE)
-                    at = np.minimum(np.searchsorted(known, fine), len(known) - 1)
-                    weight = np.where(known[at] == fine, df[at], 0)
-                chosen = tokens[np.lexsort((tokens, weight))[: similar.prefix(len(tokens))]]
-                elements.append(chosen.view(np.int64))
-                nodes.append(np.full(len(chosen), set_id(tokens)))
+                weight = shared.value.weights(tokens)
+                order = np.lexsort((tokens, weight))[: similar.prefix(len(tokens))]
+                order = order[weight[order] > 0]
+                if len(order):
+                    elements.append(tokens[order].view(np.int64))
+                    nodes.append(np.full(len(order), set_id(tokens)))
             if elements:
                 yield _arrow([np.concatenate(elements), np.concatenate(nodes)], schema)
 
@@ -186,8 +281,10 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, coarse: DataFrame, n: int,
     known = coarse.join(nodes, "node")
     blocks = known.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
     place = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    members, _ = stage(known.join(blocks, "root").withColumn("block", place), "jaccard-members")
-    texts = lambda rows: rows.join(docs, "doc_id")
+    placed = known.join(blocks, "root").withColumn("block", place)
+    placed, _ = stage(placed, "jaccard-placed")
+    wanted = only_with(docs, placed.select("doc_id"), placed.count())
+    members, _ = stage(wanted.join(placed, "doc_id").drop("doc_id"), "jaccard-members")
     nowhere = F.lit(0)
 
     # The root is in every block of its component, so most blocks meet through it.
@@ -195,7 +292,7 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, coarse: DataFrame, n: int,
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     ).where(F.col("block") != place)
     first = members.unionByName(roots).withColumns({"part": nowhere, "probe": F.lit(False)})
-    links, _ = stage(_by_group(texts(first), _tree_links(n, similar)), "jaccard-links")
+    links, _ = stage(_by_group(first, _tree_links(n, similar)), "jaccard-links")
     found = components(links)
     split = members.where(F.col("blocks") > 1)
     if split.isEmpty():
@@ -223,9 +320,9 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, coarse: DataFrame, n: int,
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("probe", F.lit(False))
     )
-    columns = ["root", "block", "part", "node", "doc_id", "probe"]
+    columns = ["root", "block", "part", "node", "text", "probe"]
     both = asked.select(columns).unionByName(stored.select(columns))
-    more, _ = stage(_by_group(texts(both), _tree_links(n, similar)), "jaccard-links")
+    more, _ = stage(_by_group(both, _tree_links(n, similar)), "jaccard-links")
     return components(links.unionByName(more))
 
 
@@ -244,16 +341,42 @@ def join(
     """``doc_id, n_shingles, component_id`` for links with Jaccard at least ``num / den``."""
     similar = Similar(num, den)
     docs = named_text(docs, id_col, text_col)
-    return classes(docs, prefixes(docs, n, similar, heavy_shingles(docs, n)), n, similar)
+    profile, nodes = profiled(docs, n)
+    total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
+    single = one_per_node(docs, profile, nodes)
+    known = frequencies(single, n, total)
+    return classes(docs, profile, nodes, prefixes(single, n, similar, known), n, similar)
 
 
-def classes(docs: DataFrame, keys: DataFrame, n: int, similar: Similar) -> DataFrame:
-    """The result of :func:`join` for ``doc_id, text``; similar nodes share one of the ``element, node`` keys."""
+def profiled(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n_shingles, node`` of all documents; the nodes with their smallest id and copies."""
     profile, _ = stage(profiles(docs, n), "jaccard-profiles")
     nodes = profile.where(F.col("n_shingles") > 0).groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("copies")
     )
-    nodes, _ = stage(nodes, "jaccard-nodes")
+    return profile, stage(nodes, "jaccard-nodes")[0]
+
+
+def one_per_node(docs: DataFrame, profile: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The documents without those whose set another one stands for.
+
+    Only texts that may be copies meet the exact list; the others stay where they are.
+    """
+    copies, _ = stage(
+        profile.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+        .join(nodes.select("doc_id"), "doc_id", "left_anti"),
+        "jaccard-copies",
+    )
+    count = copies.count()
+    maybe = only_with(docs, copies, count).join(copies, "doc_id", "left_anti")
+    return only_with(docs, copies, count, without=True).unionByName(maybe)
+
+
+def classes(
+    docs: DataFrame, profile: DataFrame, nodes: DataFrame, keys: DataFrame, n: int, similar: Similar
+) -> DataFrame:
+    """The result of :func:`join` for ``doc_id, text``; similar nodes share one of the ``element, node`` keys."""
+    keys, _ = stage(keys, "jaccard-keys")
     coarse, _ = stage(components(coarse_links(keys)), "jaccard-coarse")
     true = similar_nodes(docs, nodes.drop("copies"), coarse, n, similar)
     linked = true.join(nodes.select("node", F.col("doc_id").alias("least")), "node")

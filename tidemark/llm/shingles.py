@@ -28,20 +28,30 @@ def _power(base: int, length: int) -> np.ndarray:
     return have[:length]
 
 
+_SHIFT, _M1, _M2 = np.uint64(33), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(33))
+    h = h ^ (h >> _SHIFT)
+    h *= _M1
+    h ^= h >> _SHIFT
+    h *= _M2
+    h ^= h >> _SHIFT
+    return h
 
 
 def _hashes(raw: np.ndarray) -> np.ndarray:
-    space = _SPACE[raw]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
+    space = np.ones(len(raw) + 2, bool)
+    space[1:-1] = _SPACE[raw]
+    edge = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64)
+    values = raw.astype(np.uint64)
+    values += np.uint64(1)
+    values *= _power(_BASE, len(raw))
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(raw)), out=sums[1:])
+    np.cumsum(values, out=sums[1:])
     return mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(raw))[starts])
 
 
@@ -67,12 +77,16 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     if not len(words):
         return words
     width = min(n, len(words))
-    h = np.full(len(words) - width + 1, width, np.uint64)
-    for i in range(width):
-        h = mix(h + words[i : i + len(h)] + np.uint64(i))
-    return h
+    count = len(words) - width + 1
+    h = words[:count] + np.uint64(width)
+    for i in range(1, width):
+        h *= np.uint64(_BASE)
+        h += words[i : i + count]
+    return mix(h)
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct shingle hashes."""
-    return np.unique(shingle_hashes(word_hashes(text), n))
+    h = shingle_hashes(word_hashes(text), n)
+    h.sort()
+    return h[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else h
