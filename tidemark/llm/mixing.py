@@ -42,7 +42,7 @@ def uniform(identity: Column, seed: int = 0) -> Column:
 
 def text_quality(text: Column) -> Column:
     """Weight of a document: 1 plus the share of its characters that are letters, digits or spaces."""
-    plain = F.regexp_count(text, F.lit(r"[\p{L}\p{N}\x20]"))
+    plain = F.char_length(text) - F.char_length(F.regexp_replace(text, r"[\p{L}\p{N}\x20]+", ""))
     return F.coalesce(1 + plain / F.greatest(F.char_length(text), F.lit(1)), F.lit(1.0))
 
 

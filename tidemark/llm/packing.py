@@ -17,7 +17,8 @@ each for itself; NULL ids are kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import os
+import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
@@ -52,41 +53,52 @@ class TokenBytes:
 
     The pattern that parts a text before the merges never crosses from a
     character that is no white space into a following space, so a text may be
-    cut there and its words, which repeat, be encoded once per process.
+    cut there and its words, which repeat, be encoded once per process. The ids are
+    those of the vocabulary file, merged by rank (the rank of a merge is its id).
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
+        import public_tokenizers
+        import tiktoken
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        self._spaced = regex.compile(r"\s ")
+        self._encode = tiktoken.Encoding(
+            "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(path), special_tokens={}
+        ).encode_ordinary
+        self._spaced = re.compile(r"\s ")
         self._known: dict[str, bytes] = {}
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _plain(self, text: str) -> bytes:
+        return np.array(self._encode(text), "<u4").tobytes()
 
     def of(self, texts: Sequence[str | None]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 64):
-            yield from self._some([t or "" for t in texts[at : at + 64]])
-
-    def _some(self, texts: list[str]) -> list[bytes]:
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        parts = [None if self._spaced.search(t) else t.split(" ") for t in texts]
-        words = {" " + w for p in parts if p for w in p[1:]}
-        words.update(p[0] for p in parts if p)
-        new = [w for w in words if w not in self._known]
-        self._known.update(zip(new, self._plain(new)))
         known = self._known
-        return [
-            self._plain([t])[0] if p is None
-            else known[p[0]] + b"".join([known[" " + w] for w in p[1:]])
-            for t, p in zip(texts, parts)
-        ]
+        for text in texts:
+            text = text or ""
+            if self._spaced.search(text):
+                yield self._plain(text)
+                continue
+            first, *words = text.split(" ")
+            for word in words:
+                if word not in known:
+                    known[word] = self._plain(" " + word)
+            yield self._plain(first) + b"".join([known[word] for word in words])
+            if len(known) > REMEMBERED:
+                known.clear()
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    """Byte strings and ids of a byte-level vocabulary file, without its special tokens.
+
+    Such a file writes a byte as the character of its code if that is visible, and
+    the others, in order, as the characters from 256 on.
+    """
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    special = {t["content"] for t in content.get("added_tokens", [])}
+    return {bytes(byte_of[c] for c in t): i for t, i in content["model"]["vocab"].items() if t not in special}
 
 
 _encoders: dict[str, TokenBytes] = {}
