@@ -69,7 +69,7 @@ def test_resolution(rows, got):
 def test_page_of_one_hundred_streams(spark, rows, got):
     streams = spark.range(101).selectExpr("'1' as channel_id", "concat('u', id) as user_name", "id + 1 as viewer_count", "'t' as stream_title")
     requested = rows("channel_id string", ("1",), ("2",))
-    out = {r.channel_id: r for r in viewership.viewership(requested, streams).collect()}
+    out = {r.channel_id: r for r in viewership.viewership(requested, streams, cap=viewership.PAGE_SIZE).collect()}
     assert (out["1"].viewer_count, out["1"].channel_count) == (sum(range(2, 102)), 100)
     assert [s.viewer_count for s in out["1"].top_streams] == [101, 100, 99]
     assert (out["2"].viewer_count, out["2"].channel_count, out["2"].top_streams) == (0, 0, [])

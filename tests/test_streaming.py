@@ -49,3 +49,13 @@ def test_dedup_keeps_first_arrivals(spark, rows, tmp_path):
     stream = live.dedup_stream(live.file_stream(spark, str(tmp_path / "in"), frame.schema))
     live.write_closed(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(VALUES)
+
+
+def test_stream_reads_a_folder_of_part_files(spark, tmp_path):
+    from tidemark.queries import QUERIES
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    single = QUERIES["stream_hourly"](spark, "/root/testdata/sf0.001")
+    parted = QUERIES["stream_hourly"](spark, str(tmp_path))
+    assert sorted(map(tuple, single.collect())) == sorted(map(tuple, parted.collect()))

@@ -89,12 +89,12 @@ def podium(ranked: DataFrame) -> DataFrame:
 def with_cover(ranked: DataFrame, dim: DataFrame) -> DataFrame:
     """Cover image of each ranked row, NULL when there is none.
 
-    A board has at most ``BOARD_SIZE`` rows, so its ids reduce the dimension
-    by broadcast and the dimension itself is never shuffled.
+    The ids of a board are few, so Spark broadcasts them by their measured size
+    and the dimension is not shuffled.
     """
     ids = ranked.select("canonical_id").where(F.col("canonical_id").isNotNull()).distinct()
     covers = dim.select("canonical_id", "cover_url").join(
-        F.broadcast(ids), "canonical_id", "left_semi"
+        ids, "canonical_id", "left_semi"
     )
     return ranked.join(covers, "canonical_id", "left")
 

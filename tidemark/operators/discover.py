@@ -54,8 +54,8 @@ def top_activity(counts: DataFrame, external_ids: DataFrame, limit: int = 50) ->
 
 
 def trending_streams(feed: DataFrame, external_ids: DataFrame, limit: int = 50) -> DataFrame:
-    """Leading entries of the live feed (one page at most), resolved."""
-    top = ranked_top(feed, [F.col("feed_rank")], min(limit, 100), "position")
+    """Leading entries of the live feed resolved."""
+    top = ranked_top(feed, [F.col("feed_rank")], limit, "position")
     return resolve_channels(top, external_ids)
 
 

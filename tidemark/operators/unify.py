@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.clock import EVERYTHING, Range, within
 from tidemark.operators.latest import first_by
 
-_SPREAD = 64
-
-
 def _spread(key: Column, *detail: str) -> Column:
     """Extra join key: 0 for real ids, a hash for NULL ids.
 
     NULL ids match nothing in either case, but without the hash a full outer
     join would send all of them to the same few tasks.
     """
-    return F.when(key.isNull(), F.pmod(F.xxhash64(*detail), F.lit(_SPREAD)) + 1).otherwise(F.lit(0))
+    return F.when(key.isNull(), F.xxhash64(*detail)).otherwise(F.lit(0))
 
 
 def unified_daily(

@@ -156,7 +156,9 @@ def upsert_path(
             write_partitions(fresh.select(*columns), path, [partition])
             return
         stored = spark.read.schema(fresh.select(*columns).schema).parquet(path)
-        touched = stored.join(fresh.select(partition).distinct(), partition, "left_semi")
+        # Literal folder values: only they prune the scan. A batch names few periods.
+        periods = [r[0] for r in fresh.select(partition).distinct().collect()]
+        touched = stored.where(F.col(partition).isin(periods))
         untouched = touched.join(fresh.select(*keys), list(keys), "left_anti")
         merged = untouched.select(*columns).unionByName(fresh.select(*columns))
         write_partitions(merged, path, [partition])

@@ -20,11 +20,11 @@ def top_streams(streams: DataFrame, n: int = TOP_STREAMS) -> DataFrame:
     return top_n_per_key(streams, ["channel_id"], stream_order(), n, "stream_rank")
 
 
-def viewership(requested: DataFrame, streams: DataFrame, cap: int | None = PAGE_SIZE) -> DataFrame:
+def viewership(requested: DataFrame, streams: DataFrame, cap: int | None = None) -> DataFrame:
     """Viewers, channels and leading streams of every requested entity.
 
-    With ``cap`` the sums cover the upstream page only; ``None`` sums every
-    stream by a plain aggregate. Entities without streams report zeros.
+    All streams are summed by a plain aggregate; ``cap`` restricts the sums to the
+    leading ones, as one upstream page does. Entities without streams report zeros.
     """
     stream = F.struct("stream_rank", "user_name", "viewer_count", "stream_title")
     measures = [

@@ -151,8 +151,8 @@ LANDED = {"activity": "raw_activity", "viewers": "raw_viewers", "ratings": "raw_
 
 def _stored_days(store: Store, table: str, batch: DataFrame) -> DataFrame:
     """Stored rows of the days that occur in ``batch``."""
-    days = batch.select(F.to_date("ts").alias("date")).distinct()
-    touched = store.read(table).join(days, "date", "left_semi")
+    days = [r[0] for r in batch.select(F.to_date("ts").alias("date")).distinct().collect()]
+    touched = store.read(table).where(F.col("date").isin(days))
     return touched.select(*TABLES[table].names)
 
 

@@ -289,7 +289,7 @@ def _viewership_sql(condition: str) -> str:
                {_LEADERS}"""
 
 
-@query("viewership_from_streams", _viewership_sql("n <= 100"))
+@query("viewership_from_streams", _viewership_sql("TRUE"))
 def _(m):
     return _flat(viewership.viewership(m.requested, m.streams))
 

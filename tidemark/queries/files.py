@@ -237,7 +237,7 @@ def _(m):
     """SELECT p.p_partkey AS app_id, CAST(p.p_partkey AS VARCHAR) AS channel_id,
               CAST(COALESCE(SUM(s.viewer_count), 0) AS BIGINT) AS viewer_count, COUNT(s.channel_id) AS channel_count,
               COUNT(CASE WHEN s.n <= 3 THEN 1 END) AS leaders
-       FROM part p LEFT JOIN streams_ranked s ON s.channel_id = CAST(p.p_partkey AS VARCHAR) AND s.n <= 100
+       FROM part p LEFT JOIN streams_ranked s ON s.channel_id = CAST(p.p_partkey AS VARCHAR)
        GROUP BY 1, 2""",
 )
 def _(m):

@@ -14,7 +14,7 @@ from tidemark.streaming import live
 
 def _stream(m):
     events = m.table("events")
-    source = live.file_stream(m.spark, m.sf_dir, events.schema, "events.parquet")
+    source = live.file_stream(m.spark, f"{m.sf_dir}/events.parque[t]", events.schema)
     k = F.get_json_object("props", "$.k").cast("int")
     return activity_of(source.where(F.col("event_type").isin("click", "view")).withColumn("k", k))
 

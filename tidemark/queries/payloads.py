@@ -162,7 +162,7 @@ def _(m):
     """SELECT TIMESTAMP '2024-01-30 23:30:00' AS ts, p.p_partkey AS app_id, p.p_name AS title,
               CAST(p.p_partkey AS VARCHAR) AS channel_id, CAST(COALESCE(SUM(s.viewer_count), 0) AS BIGINT) AS viewer_count,
               COUNT(s.channel_id) AS channel_count
-       FROM part p LEFT JOIN streams_ranked s ON s.channel_id = CAST(p.p_partkey AS VARCHAR) AND s.n <= 100
+       FROM part p LEFT JOIN streams_ranked s ON s.channel_id = CAST(p.p_partkey AS VARCHAR)
        GROUP BY 1, 2, 3, 4""",
 )
 def _(m):

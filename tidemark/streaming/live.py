@@ -22,7 +22,7 @@ def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Parquet files arriving in a folder."""
+    """Parquet files arriving in a folder; a pattern in ``path`` may name a file or a folder."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
