@@ -7,7 +7,8 @@ language, the share that false positives add is taken off, and the language
 with the most n-grams left decides.
 
 The filter has ``CELLS`` words whatever the corpus; it is fitted on at most
-``SAMPLE`` labelled documents per language, chosen by a hash of their id.
+``SAMPLE`` labelled documents per language, chosen by a hash of their id. All labelled
+documents are counted by bins of that hash, so the choice is one filter per language.
 
 Defined cases: NULL text or one without a letter is ``und`` with score 0; a text
 whose n-grams are all unknown gets the first learned language with score 0; without
@@ -18,18 +19,23 @@ point; repeated rows give repeated results.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 UNKNOWN = "und"
 GRAM = 4
 CELLS = 1 << 21
 HASHES = 3
 SAMPLE = 4_000
+#: Bins of the sampling draw per halving of its probability.
+BINS = 64
 MAX_LANGUAGES = 64
 #: A gram belongs to a language if its share there is at least this part of its largest share,
 #: and at least so many of a million grams.
@@ -123,25 +129,42 @@ def has_letter(text: str) -> bool:
     return regex.search(r"\p{L}", text) is not None
 
 
+def draw_bin(identity: Column) -> Column:
+    """Bin of a uniform draw by the id's hash; each bin above holds a 64th of a halving less."""
+    draw = (F.shiftrightunsigned(F.xxhash64(identity), 11) + 1) / F.lit(float(1 << 53))
+    return F.floor(-F.log2(draw) * BINS).cast("int")
+
+
+def draw_limits(known: DataFrame, id_col: str, sample: int) -> dict[str, int]:
+    """The least bin that is learned from, per language.
+
+    All rows are counted by language and bin (at most 53 * ``BINS`` bins each); the highest
+    bins that hold no more than ``sample`` rows together are taken.
+    """
+    bins = known.groupBy("lang", draw_bin(F.col(id_col)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("lang").orderBy(F.desc("bin"))
+    limits = (
+        bins.withColumn("held", F.sum("n").over(order))
+        .groupBy("lang")
+        .agg(F.min(F.when(F.col("held") <= sample, F.col("bin"))).alias("least"))
+        .select("lang", F.coalesce("least", F.lit(54 * BINS)).alias("least"))
+    )
+    return {r["lang"]: r["least"] for r in limits.limit(MAX_LANGUAGES + 1).collect()}
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
     """Learn from ``lang`` and ``text`` of labelled rows; NULL languages and texts are left out."""
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    draw = Window.partitionBy("lang").orderBy(F.xxhash64("__id"), "__id")
-    # The chosen ids alone are ranked; each task keeps no more than the sample per language.
-    chosen = (
-        known.select("lang", F.col(id_col).alias("__id"))
-        .withColumn("__at", F.row_number().over(draw))
-        .where(F.col("__at") <= sample)
-        .select("__id").distinct()
-    )
-    rows = known.join(chosen, F.col(id_col) == F.col("__id"), "left_semi")
-    counts = gram_counts(rows)
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    languages = [r[0] for r in totals.select("lang").orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
-    if len(languages) > MAX_LANGUAGES:
+    limits = draw_limits(known, id_col, sample)
+    if len(limits) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not languages:
+    if not limits:
         return Model([], np.zeros(0, np.uint64))
+    drawn = [(F.col("lang") == lang) & (draw_bin(F.col(id_col)) >= least) for lang, least in limits.items()]
+    rows = known.where(reduce(or_, drawn))  # the texts are filtered where they are read, not shuffled
+    counts, _ = stage(gram_counts(rows), "language-grams")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    languages = sorted(limits)
     share = F.col("n") / F.col("total")
     order = F.array(*[F.lit(x) for x in languages])
     masks = (
