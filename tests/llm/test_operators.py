@@ -156,6 +156,16 @@ def test_language_unknown(docs):
     assert {named[i] for i in (2, 3, 4, 8)} == {"und"}
 
 
+def test_language_sample_is_bounded(spark):
+    known = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 300, "few").otherwise("many").alias("lang"))
+    limits = language_id.draw_limits(known, "doc_id", 1_000)
+    taken = {
+        lang: known.where((F.col("lang") == lang) & (language_id.draw_bin(F.col("doc_id")) >= least)).count()
+        for lang, least in limits.items()
+    }
+    assert taken["few"] == 300 and 950 < taken["many"] <= 1_000
+
+
 def test_topk_odd_vectors(spark):
     rows = [(i, [float(x) for x in np.random.default_rng(i % 7).normal(size=64)]) for i in range(205)]
     rows += [(300, None), (400, []), (500, [float("nan")] * 64), (None, [1.0])]
