@@ -158,5 +158,43 @@ def test_one_failing_source_does_not_stop_the_others(spark, rows, got, tmp_path)
     store = Store(spark, str(tmp_path / "s"))
     good = rows("ts timestamp_ntz, channel_id string, title string, viewer_count long, channel_count int", ("2025-10-22 10:00:00", "9", "a", 10, 2))
     report = jobs.land_all(store, {"activity": broken, "viewers": lambda: good})
-    assert got(report) == [("activity", 0, "ConnectionError: down"), ("viewers", 1, None)]
+    assert got(report) == [("activity", 0, "ConnectionError: down"), ("total", 1, None), ("viewers", 1, None)]
     assert store.rows("raw_viewers").count() == 1
+
+
+def test_newest_period_names_the_week_and_the_month(spark, rows, got, tmp_path):
+    """A rename within the week, and one between two weeks of a month; "Zed" sorts last."""
+    samples = [(f"2025-10-{day:02d} 10:00:00", app, title, 10 * day, None, None, True) for day, app, title in (
+        (6, 1, "Zed"), (7, 1, "Alpha"), (8, 1, "Alpha"), (6, 2, "Zed"), (14, 2, "Alpha"),
+    )]
+    none = [spark.createDataFrame([], TABLES[t]) for t in ("raw_viewers", "raw_ratings", "dimension")]
+    store = Store(spark, str(tmp_path / "s"))
+    jobs.refresh_daily(store, jobs.Inputs(rows(RAW, *samples), *none), date(2025, 10, 1), date(2025, 10, 31))
+    jobs.refresh_weekly(store, date(2025, 10, 1), date(2025, 10, 31))
+    jobs.refresh_monthly(store, date(2025, 10, 1), date(2025, 10, 31))
+    assert got(store.rows("weekly_activity"), "app_id", "title", "total_samples", "days_in_week") == [
+        (1, "Alpha", 2, 2), (2, "Alpha", 1, 1), (2, "Zed", 1, 1),
+    ]
+    assert got(store.rows("monthly_activity"), "app_id", "title", "total_samples") == [(1, "Alpha", 2), (2, "Alpha", 1)]
+
+
+def test_backfill_reaches_the_hours(spark, rows, got, tmp_path):
+    raw = rows(RAW, ("2025-10-18 10:00:00", 1, "a", 10, None, None, True), ("2025-10-22 11:00:00", 1, "a", 30, None, None, True))
+    none = [spark.createDataFrame([], TABLES[t]) for t in ("raw_viewers", "raw_ratings", "dimension")]
+    store = Store(spark, str(tmp_path / "s"))
+    now = datetime(2025, 10, 22, 12)
+    jobs.refresh_hourly(store, jobs.Inputs(raw, *none), now)
+    assert got(store.rows("hourly_activity"), "peak_ccu") == [(30,)]
+    jobs.refresh_hourly(store, jobs.Inputs(raw, *none), now, since=date(2025, 10, 18))
+    assert got(store.rows("hourly_activity"), "peak_ccu") == [(10,), (30,)]
+
+
+def test_an_overwrite_that_broke_off_is_repeated(spark, rows, got, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "date date, k long, v long"
+    upsert.write_partitions(rows(schema, ("2025-01-02", 1, 1)), path, ["date"])
+    rows(schema, ("2025-01-01", 1, 7)).write.parquet(path + ".pending")  # its folder was deleted, not yet placed
+    upsert.upsert_path(spark, path, rows(schema, ("2025-01-01", 2, 8)), ["date", "k"], ["v"], "date")
+    stored = spark.read.schema(schema).parquet(path)
+    assert got(stored, "date", "k", "v") == [(date(2025, 1, 1), 1, 7), (date(2025, 1, 1), 2, 8), (date(2025, 1, 2), 1, 1)]
+    assert not (tmp_path / "t.pending").exists()

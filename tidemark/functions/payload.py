@@ -197,15 +197,15 @@ def cover_url(url: Column) -> Column:
 def last_per_label(labelled: Column) -> Column:
     """array<struct<label,value>> to a map in which the last entry of a label wins.
 
-    Works inside the row: an entry survives when no later one has its label.
+    One pass over the array; the map never holds more than the known labels.
     """
-    kept = F.filter(
+    return F.aggregate(
         labelled,
-        lambda e, i: ~F.exists(
-            F.slice(labelled, i + 2, F.size(labelled)), lambda later: later["label"] == e["label"]
+        F.create_map().cast("map<string,string>"),
+        lambda held, e: F.map_concat(
+            F.map_filter(held, lambda label, _: label != e["label"]), F.create_map(e["label"], e["value"])
         ),
     )
-    return F.map_from_entries(kept)
 
 
 def websites_map(sites: Column) -> Column:
@@ -231,7 +231,9 @@ def catalogue_row(landed: DataFrame) -> DataFrame:
         return F.coalesce(F.transform(held, lambda c: c["company"]["name"]), _strings())
 
     epoch = F.nullif(g["first_release_date"], F.lit(0))
-    return landed.withColumn("g", F.from_json("payload", CATALOGUE_SCHEMA)).select(
+    # As in ``_successful``: filters on the entity must not parse the payload again.
+    parsed = F.explode(F.array(F.from_json("payload", CATALOGUE_SCHEMA))).alias("g")
+    return landed.select(parsed).select(
         g["id"].alias("canonical_id"),
         g["name"].alias("title"),
         g["slug"].alias("slug"),
@@ -285,9 +287,8 @@ def external_ids_pivot(rows: DataFrame) -> DataFrame:
 def ratings(landed: DataFrame) -> DataFrame:
     """Rating payload to (ts, canonical_id, rating, critic_rating, rating_count)."""
     g = F.col("g")
-    return landed.withColumn("g", F.from_json("payload", RATING_SCHEMA)).where(
-        g["id"].isNotNull()
-    ).select(
+    usable = F.filter(F.array(F.from_json("payload", RATING_SCHEMA)), lambda r: r["id"].isNotNull())
+    return landed.select("ts", F.explode(usable).alias("g")).select(
         "ts",
         g["id"].alias("canonical_id"),
         g["rating"].alias("rating"),

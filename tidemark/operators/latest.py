@@ -15,17 +15,20 @@ def _has_map(dtype: T.DataType) -> bool:
     return "map<" in dtype.simpleString()
 
 
-def _extreme(
-    df: DataFrame, keys: list[str | Column], order: list[str], carry: list[str], last: bool
-) -> DataFrame:
+def _best(df: DataFrame, order: list[str], carry: list[str], last: bool) -> Column:
+    """The ``carry`` columns of a group's last (or first) row by ``order``, as a struct."""
     sortable = [c for c in carry if not _has_map(df.schema[c].dataType)]
     rank = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *sortable])])
     if len(sortable) == len(carry):
-        best = F.max(rank) if last else F.min(rank)
-    else:  # maps cannot be compared, so they ride along
-        row = F.struct(*[F.col(c) for c in carry])
-        best = F.max_by(row, rank) if last else F.min_by(row, rank)
-    grouped = df.groupBy(*keys).agg(best.alias("__best"))
+        return F.max(rank) if last else F.min(rank)
+    row = F.struct(*[F.col(c) for c in carry])  # maps cannot be compared, so they ride along
+    return F.max_by(row, rank) if last else F.min_by(row, rank)
+
+
+def _extreme(
+    df: DataFrame, keys: list[str | Column], order: list[str], carry: list[str], last: bool
+) -> DataFrame:
+    grouped = df.groupBy(*keys).agg(_best(df, order, carry, last).alias("__best"))
     kept = [c for c in grouped.columns if c != "__best"]
     return grouped.select(*kept, *[F.col("__best")[c].alias(c) for c in carry if c not in kept])
 
@@ -45,6 +48,16 @@ def first_by(df: DataFrame, keys: list[str | Column], order: list[str], carry: l
     return _extreme(df, keys, order, carry, last=False)
 
 
+def ends_by(
+    df: DataFrame, keys: list[str | Column], order: list[str], first: list[str], last: list[str]
+) -> DataFrame:
+    """Per key, struct ``__first`` of the least row and struct ``__last`` of the greatest."""
+    return df.groupBy(*keys).agg(
+        _best(df, order, first, last=False).alias("__first"),
+        _best(df, order, last, last=True).alias("__last"),
+    )
+
+
 def ratings_daily(raw: DataFrame, dim: DataFrame, window: Range = EVERYTHING) -> DataFrame:
     """Latest rating of each entity and day, named from the dimension."""
     rows = within(raw, "ts", window)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.latest import first_by, latest_by
+from tidemark.operators.latest import ends_by, first_by, latest_by
 from tidemark.session import remove_path, stage
 
 # Metric columns a re-landed sample overwrites; the title stays as first written.
@@ -53,25 +55,19 @@ def update_metrics(
     """Partial upsert: new keys are inserted, known keys get new metrics only.
 
     Within one batch the first row of a new key supplies the other columns and
-    the last row its metrics, as if the rows had been applied one by one.
+    the last row its metrics, as if the rows had been applied one by one. Both come
+    from one aggregate, and one full outer join reads either side once. Updates
+    without a complete key are left out.
     """
     others = [c for c in target.columns if c not in keys and c not in metrics]
-    latest = latest_by(updates, list(keys), list(order), list(metrics))
-    fresh = latest.select(*keys, F.struct(*metrics).alias("__new"))
-    kept = target.join(fresh, list(keys), "left").select(
-        *keys,
-        *others,
-        *[
-            F.when(F.col("__new").isNotNull(), F.col("__new")[m]).otherwise(F.col(m)).alias(m)
-            for m in metrics
-        ],
-    )
-    known = target.select(*keys).join(latest.select(*keys), list(keys), "left_semi")
-    inserted = latest.join(known, list(keys), "left_anti")
-    if others:
-        named = first_by(updates, list(keys), list(order), others)
-        inserted = inserted.join(named, list(keys))
-    return kept.unionByName(inserted.select(*kept.columns)).select(*target.columns)
+    keyed = updates.where(reduce(and_, (F.col(k).isNotNull() for k in keys)))
+    fresh = ends_by(keyed, list(keys), list(order), others, list(metrics))
+    merged = target.withColumn("__stored", F.lit(True)).join(fresh, list(keys), "full")
+    values = {
+        **{c: F.when(F.col("__stored"), F.col(c)).otherwise(F.col("__first")[c]) for c in others},
+        **{m: F.when(F.col("__last").isNotNull(), F.col("__last")[m]).otherwise(F.col(m)) for m in metrics},
+    }
+    return merged.select(*[values[c].alias(c) if c in values else F.col(c) for c in target.columns])
 
 
 def land(target: DataFrame, updates: DataFrame, source: str, order: Sequence[str]) -> DataFrame:
@@ -135,6 +131,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def finish_pending(spark: SparkSession, path: str, partition: str) -> None:
+    """Repeat an overwrite that broke off; a stored copy that is not whole is dropped."""
+    pending = f"{path}.pending"
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        write_partitions(spark.read.parquet(pending), path, [partition])
+    if path_exists(spark, pending):
+        remove_path(spark, pending)
+
+
+def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, partition: str) -> None:
+    """Overwrite the partitions of ``rows``, which may be read from the same table.
+
+    The rows are first stored whole beside the table and removed after the
+    overwrite, so that the next write can repeat one that broke off between
+    deleting the old files and placing the new ones.
+    """
+    rows.write.mode("overwrite").parquet(f"{path}.pending")
+    finish_pending(spark, path, partition)
+
+
 def upsert_path(
     spark: SparkSession,
     path: str,
@@ -150,6 +166,7 @@ def upsert_path(
     Columns starting with an underscore only order the batch and are not stored.
     """
     columns = [c for c in updates.columns if not c.startswith("_")]
+    finish_pending(spark, path, partition)
     fresh, staged = stage(collapse_last(updates, keys, order), "updates")
     try:
         if not path_exists(spark, path):
@@ -161,6 +178,6 @@ def upsert_path(
         touched = stored.where(F.col(partition).isin(periods))
         untouched = touched.join(fresh.select(*keys), list(keys), "left_anti")
         merged = untouched.select(*columns).unionByName(fresh.select(*columns))
-        write_partitions(merged, path, [partition])
+        replace_partitions(spark, path, merged, partition)
     finally:
         remove_path(spark, staged)

@@ -9,7 +9,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.clock import Range, floor_hour, period_bounds, trailing, within
+from tidemark.clock import Range, floor_hour, midnight, period_bounds, trailing, within
 from tidemark.contract import EXPORT_NAMES, publish
 from tidemark.functions import payload
 from tidemark.operators import discover, entities, latest, resolve, retain, rollup, stats, upsert
@@ -30,44 +30,51 @@ class Inputs:
 
 
 # -- refresh cascade -----------------------------------------------------
-_LAST = rollup.Measure("_last", "top", "ts")
+# Between two rows of one key the newest sample or finer period decides, then the title.
+_NEWEST = ["_last", "title"]
 
 
 def _dated(spec: rollup.Rollup) -> rollup.Rollup:
-    """The spec with the newest sample time, which decides between two rows of one key."""
-    return replace(spec, measures=(*spec.measures, _LAST))
+    """The spec with the newest time it reads."""
+    return replace(spec, measures=(*spec.measures, rollup.Measure("_last", "top", spec.read)))
 
 
-def refresh_hourly(store: Store, inputs: Inputs, as_of_ts: datetime, hours: int = 48) -> None:
-    """Recompute the last hours. The cutoff is cut down to the hour, so that the
-    oldest hour is replaced by a complete one."""
+def refresh_hourly(
+    store: Store, inputs: Inputs, as_of_ts: datetime, hours: int = 48, since: date | None = None
+) -> None:
+    """Recompute the last hours, or all from the day ``since`` if that is earlier.
+
+    The cutoff is cut down to the hour, so that the oldest hour is replaced by a
+    complete one.
+    """
     window = trailing(floor_hour(as_of_ts), hours, "hour")
+    if since is not None:
+        window = Range(min(window.start, midnight(since)))
     rows = rollup.roll_up(inputs.activity, _dated(rollup.HOURLY_ACTIVITY), window)
-    store.upsert("hourly_activity", rows, ["_last"])
+    store.upsert("hourly_activity", rows, _NEWEST)
 
 
 def refresh_daily(store: Store, inputs: Inputs, since: date, as_of: date) -> None:
     window = Range(since, as_of + timedelta(days=1))
     rolled = rollup.roll_up(inputs.activity, _dated(rollup.DAILY_ACTIVITY), window)
     activity = rollup.attach_entity(rolled, inputs.dim, "app_id", ("canonical_id",))
-    store.upsert("daily_activity", activity, ["_last"])
+    store.upsert("daily_activity", activity, _NEWEST)
     rolled = rollup.roll_up(inputs.viewers, _dated(rollup.DAILY_VIEWERS), window)
     viewers = rollup.attach_entity(rolled, inputs.dim, "channel_id", ("canonical_id",))
-    store.upsert("daily_viewers", viewers, ["_last"])
+    store.upsert("daily_viewers", viewers, _NEWEST)
     ratings = latest.ratings_daily(inputs.ratings, inputs.dim, window)
-    store.upsert("ratings_daily", ratings.withColumn("_last", F.col("date")), ["_last"])
+    store.upsert("ratings_daily", ratings, ["title"])
 
 
 def refresh_weekly(store: Store, since: date, as_of: date) -> None:
     """Recompute the ISO weeks from the one holding ``since``, from stored days."""
     window = Range(period_bounds(since, "week").start, period_bounds(as_of, "week").end)
-    for table, source, derive in (
-        ("weekly_activity", "daily_activity", rollup.weekly_activity),
-        ("weekly_viewers", "daily_viewers", rollup.weekly_viewers),
-        ("ratings_weekly", "ratings_daily", latest.ratings_weekly),
+    for table, source, spec in (
+        ("weekly_activity", "daily_activity", rollup.WEEKLY_ACTIVITY),
+        ("weekly_viewers", "daily_viewers", rollup.WEEKLY_VIEWERS),
     ):
-        rows = derive(store.rows(source), window)
-        store.upsert(table, rows.withColumn("_order", F.col("title")), ["_order"])
+        store.upsert(table, rollup.roll_up(store.rows(source), _dated(spec), window), _NEWEST)
+    store.upsert("ratings_weekly", latest.ratings_weekly(store.rows("ratings_daily"), window), ["title"])
 
 
 def refresh_monthly(store: Store, since: date, as_of: date) -> None:
@@ -75,13 +82,12 @@ def refresh_monthly(store: Store, since: date, as_of: date) -> None:
     its Monday, so the first week of ``since`` may reach into an earlier month."""
     first = period_bounds(since, "week").start
     window = Range(period_bounds(first, "month").start, period_bounds(as_of, "month").end)
-    for table, source, derive in (
-        ("monthly_activity", "weekly_activity", rollup.monthly_activity),
-        ("monthly_viewers", "weekly_viewers", rollup.monthly_viewers),
-        ("ratings_monthly", "ratings_weekly", latest.ratings_monthly),
+    for table, source, spec in (
+        ("monthly_activity", "weekly_activity", rollup.MONTHLY_ACTIVITY),
+        ("monthly_viewers", "weekly_viewers", rollup.MONTHLY_VIEWERS),
     ):
-        rows = derive(store.rows(source), window)
-        store.upsert(table, rows.withColumn("_order", F.col("title")), ["_order"])
+        store.upsert(table, rollup.roll_up(store.rows(source), _dated(spec), window), _NEWEST)
+    store.upsert("ratings_monthly", latest.ratings_monthly(store.rows("ratings_weekly"), window), ["title"])
 
 
 def export_frames(store: Store, dim: DataFrame, as_of_ts: datetime) -> dict[str, DataFrame]:
@@ -131,15 +137,15 @@ def run_cascade(
     """Refresh hour to month, apply retention, write all exports.
 
     ``since`` widens the refresh beyond the current day, for missed runs, late
-    samples and backfills.
+    samples and backfills; hours are rebuilt as far back as retention keeps them.
     """
     as_of = as_of_ts.date()
     since = since or as_of
-    refresh_hourly(store, inputs, as_of_ts)
+    cutoff = as_of - timedelta(days=retention_days)
+    refresh_hourly(store, inputs, as_of_ts, since=max(since, cutoff))
     refresh_daily(store, inputs, since, as_of)
     refresh_weekly(store, since, as_of)
     refresh_monthly(store, since, as_of)
-    cutoff = as_of - timedelta(days=retention_days)
     for table in ("raw_activity", "hourly_activity"):
         retain.drop_partitions_before(store.spark, store.path(table), "date", cutoff)
     return export_all(store, inputs.dim, as_of_ts, out)
@@ -159,6 +165,7 @@ def _stored_days(store: Store, table: str, batch: DataFrame) -> DataFrame:
 def land_batch(store: Store, source: str, batch: DataFrame) -> DataFrame:
     """Partial upsert of a batch into its raw table; returns the load statistics."""
     table = LANDED[source]
+    store.recover(table)
     if "_order" not in batch.columns:
         batch = batch.withColumn("_order", F.lit(0))
     fresh, staged = stage(batch, "batch")
@@ -174,21 +181,30 @@ def land_batch(store: Store, source: str, batch: DataFrame) -> DataFrame:
 
 
 def land_all(store: Store, batches: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Land every source on its own: a failing source is reported, not raised."""
+    """Land every source on its own: a failing source is reported, not raised.
+
+    The last row is the total, which fails when no source delivered a row.
+    """
     report = []
     for source, fetch in batches.items():
+        staged = None
         try:
             fresh, staged = stage(fetch(), "fetched")
             land_batch(store, source, fresh)
             report.append((source, fresh.count(), None))
-            remove_path(store.spark, staged)
         except Exception as error:  # the other sources go on
             report.append((source, 0, f"{type(error).__name__}: {error}".splitlines()[0]))
+        finally:
+            if staged:
+                remove_path(store.spark, staged)
+    total = sum(collected for _, collected, _ in report)
+    report.append(("total", total, None if total else "no rows from any source"))
     return store.spark.createDataFrame(report, "source string, collected long, error string")
 
 
 def reload_parquet(store: Store, landed: DataFrame) -> DataFrame:
     """Append landed samples whose key is not stored yet; returns load statistics."""
+    store.recover("raw_activity")
     rows = landed.select(*TABLES["raw_activity"].names)
     fresh = upsert.load_new_rows(_stored_days(store, "raw_activity", rows), rows, ["ts", "app_id"])
     store.append("raw_activity", fresh)
@@ -206,7 +222,9 @@ class Feeds:
     store_landed: DataFrame
 
 
-# Published names of the discovery sources.
+# Published names of the discovery sources and the text of their log entry.
+DISCOVERY_NOTE = "Discovered {limit} games from {source}"
+
 SOURCES: dict[str, Callable[[Feeds, datetime, int], DataFrame]] = {
     "igdb-popular": lambda f, now, n: discover.popular(f.catalogue, n),
     "igdb-recent": lambda f, now, n: discover.recent(f.catalogue, now, n),
@@ -235,7 +253,7 @@ def discover_into(
     entry = inserted.agg(F.count(F.lit(1)).alias("discovered")).select(
         moment.alias("logged_at"), F.lit(source).alias("discovery_source"), "discovered",
         F.lit(0).cast("bigint").alias("updated"), F.lit(seconds).alias("seconds"),
-        F.lit(f"Discovered {limit} games from {source}").alias("notes"),
+        F.lit(DISCOVERY_NOTE.format(limit=limit, source=source)).alias("notes"),
     )
     return worklist.unionByName(inserted), entities.audit_append(log, entry, ["discovery_source"])
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.upsert import path_exists, upsert_path, write_partitions
+from tidemark.operators.upsert import finish_pending, path_exists, replace_partitions, upsert_path
 from tidemark.schemas import KEYS, TABLES
 
 # Folder column of each stored table; tables without a period are spread by key.
@@ -75,7 +75,11 @@ class Store:
     def rewrite(self, table: str, rows: DataFrame) -> None:
         """Replace whole folders by ``rows``, which hold all rows of those folders."""
         shaped = self._foldered(table, rows.select(*TABLES[table].names))
-        write_partitions(shaped, self.path(table), [FOLDERS[table]])
+        replace_partitions(self.spark, self.path(table), shaped, FOLDERS[table])
+
+    def recover(self, table: str) -> None:
+        """Finish an overwrite that broke off; every write does so before it reads."""
+        finish_pending(self.spark, self.path(table), FOLDERS[table])
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows whose keys are known to be absent; stored files stay as they are."""

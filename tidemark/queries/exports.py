@@ -114,13 +114,22 @@ def _(m):
 
 @query(
     "unified_rankings",
-    """SELECT COALESCE(a.title, v.title) AS title, COALESCE(a.canonical_id, v.canonical_id) AS canonical_id,
-              a.app_id, v.channel_id, ROUND(a.avg_peak_ccu, 6) AS avg_peak_ccu, a.all_time_peak_ccu,
-              ROUND(a.avg_ccu, 6) AS avg_ccu, a.days_tracked AS activity_days_tracked,
-              ROUND(v.avg_peak_viewers, 6) AS avg_peak_viewers, v.all_time_peak_viewers,
-              ROUND(v.avg_viewers, 6) AS avg_viewers, ROUND(v.avg_channels, 6) AS avg_channels,
-              v.days_tracked AS viewer_days_tracked
-       FROM activity_totals a FULL OUTER JOIN viewer_totals v ON v.canonical_id = a.canonical_id""",
+    """SELECT * EXCLUDE (title_a, title_v), COALESCE(title_a, title_v) AS title FROM (
+         WITH played AS (
+           SELECT canonical_id, title AS title_a, app_id, all_time_peak_ccu, days_tracked AS activity_days_tracked,
+                  ROUND(avg_peak_ccu, 6) AS avg_peak_ccu, ROUND(avg_ccu, 6) AS avg_ccu FROM activity_totals
+         ), watched AS (
+           SELECT canonical_id, title AS title_v, channel_id, all_time_peak_viewers, days_tracked AS viewer_days_tracked,
+                  ROUND(avg_peak_viewers, 6) AS avg_peak_viewers, ROUND(avg_viewers, 6) AS avg_viewers,
+                  ROUND(avg_channels, 6) AS avg_channels FROM viewer_totals
+         ), ids AS (
+           SELECT canonical_id FROM played UNION SELECT canonical_id FROM watched
+         )
+         SELECT * FROM ids LEFT JOIN played USING (canonical_id) LEFT JOIN watched USING (canonical_id)
+         WHERE canonical_id IS NOT NULL
+         UNION ALL BY NAME SELECT * FROM played WHERE canonical_id IS NULL
+         UNION ALL BY NAME SELECT * FROM watched WHERE canonical_id IS NULL
+       ) u""",
 )
 def _(m):
     return rounded(exports.rankings_unified(m.daily_activity(), m.daily_viewers()))
@@ -128,18 +137,28 @@ def _(m):
 
 @query(
     "unified_daily",
-    """SELECT COALESCE(a.date, v.date, r.date) AS date,
-              COALESCE(a.canonical_id, v.canonical_id, r.canonical_id) AS canonical_id,
-              COALESCE(a.title, v.title, r.title) AS title, a.app_id, ROUND(a.avg_ccu, 6) AS avg_ccu,
-              a.peak_ccu, a.min_ccu, a.samples AS activity_samples, v.channel_id,
-              ROUND(v.avg_viewers, 6) AS avg_viewers, v.peak_viewers, v.min_viewers,
-              ROUND(v.avg_channels, 6) AS avg_channels, v.samples AS viewer_samples,
-              ROUND(r.rating, 6) AS rating, ROUND(r.critic_rating, 6) AS critic_rating, r.rating_count
-       FROM daily_activity a
-       FULL OUTER JOIN daily_viewers v ON v.canonical_id = a.canonical_id AND v.date = a.date
-       FULL OUTER JOIN ratings_daily r ON r.canonical_id = COALESCE(a.canonical_id, v.canonical_id)
-                                      AND r.date = COALESCE(a.date, v.date)
-       WHERE COALESCE(a.date, v.date, r.date) >= DATE '2023-12-31'""",
+    """SELECT * EXCLUDE (title_a, title_v, title_r), COALESCE(title_a, title_v, title_r) AS title FROM (
+         WITH played AS (
+           SELECT canonical_id, date, title AS title_a, app_id, peak_ccu, min_ccu, samples AS activity_samples,
+                  ROUND(avg_ccu, 6) AS avg_ccu FROM daily_activity
+         ), watched AS (
+           SELECT canonical_id, date, title AS title_v, channel_id, peak_viewers, min_viewers,
+                  samples AS viewer_samples, ROUND(avg_viewers, 6) AS avg_viewers,
+                  ROUND(avg_channels, 6) AS avg_channels FROM daily_viewers
+         ), rated AS (
+           SELECT canonical_id, date, title AS title_r, rating_count, ROUND(rating, 6) AS rating,
+                  ROUND(critic_rating, 6) AS critic_rating FROM ratings_daily
+         ), days AS (
+           SELECT canonical_id, date FROM played UNION SELECT canonical_id, date FROM watched
+           UNION SELECT canonical_id, date FROM rated
+         )
+         SELECT * FROM days LEFT JOIN played USING (canonical_id, date)
+         LEFT JOIN watched USING (canonical_id, date) LEFT JOIN rated USING (canonical_id, date)
+         WHERE canonical_id IS NOT NULL
+         UNION ALL BY NAME SELECT * FROM played WHERE canonical_id IS NULL
+         UNION ALL BY NAME SELECT * FROM watched WHERE canonical_id IS NULL
+         UNION ALL BY NAME SELECT * FROM rated WHERE canonical_id IS NULL
+       ) u WHERE date >= DATE '2023-12-31'""",
 )
 def _(m):
     return rounded(

@@ -52,12 +52,42 @@ def _counts_sql():
     )
 
 
-@query("job_full", _counts_sql())
+_COARSE = (  # table, period, key, peak, finer periods
+    ("weekly_activity", "week_start", "app_id", "max_peak_ccu", "days_in_week"),
+    ("weekly_viewers", "week_start", "channel_id", "max_peak_viewers", "days_in_week"),
+    ("monthly_activity", "month_start", "app_id", "max_peak_ccu", "weeks_in_month"),
+    ("monthly_viewers", "month_start", "channel_id", "max_peak_viewers", "weeks_in_month"),
+)
+
+
+def _stored_sql():
+    return " UNION ALL ".join(
+        f"""SELECT '{table}' AS output, CAST(total_samples AS BIGINT) AS records, {period} AS period,
+                   CAST({key} AS VARCHAR) AS entity, title, CAST({peak} AS BIGINT) AS peak, {parts} AS parts
+            FROM {table}"""
+        for table, period, key, peak, parts in _COARSE
+    )
+
+
+@query(
+    "job_full",
+    f"""{_stored_sql()}
+        UNION ALL SELECT output, records, NULL, NULL, NULL, NULL, NULL FROM ({_counts_sql()}) c""",
+)
 def _(m):
-    """Backfill of all days, cascade to months, retention, all exports."""
+    """Backfill of all days, cascade to months, retention, all exports: rows of the
+    stored weeks and months, and the number of records of every export."""
     store = Store(m.spark, scratch_path(m.spark, "store"))
     out = scratch_path(m.spark, "exports")
-    return _counts(m, jobs.run_cascade(store, _inputs(m), AS_OF_TS, out, since=date(2024, 1, 1)))
+    report = _counts(m, jobs.run_cascade(store, _inputs(m), AS_OF_TS, out, since=date(2024, 1, 1)))
+    for table, period, key, peak, parts in _COARSE:
+        rows = store.rows(table).select(
+            F.lit(table).alias("output"), F.col("total_samples").cast("bigint").alias("records"),
+            F.col(period).alias("period"), F.col(key).cast("string").alias("entity"), "title",
+            F.col(peak).cast("bigint").alias("peak"), F.col(parts).alias("parts"),
+        )
+        report = report.unionByName(rows, allowMissingColumns=True)
+    return report
 
 
 @query("job_export_only", _counts_sql())
@@ -163,7 +193,8 @@ def _(m):
     "job_land_all",
     """SELECT 'activity' AS source, COUNT(*) AS collected, FALSE AS failed FROM raw_activity
        UNION ALL SELECT 'viewers', 0, TRUE
-       UNION ALL SELECT 'ratings', COUNT(*), FALSE FROM raw_ratings""",
+       UNION ALL SELECT 'ratings', COUNT(*), FALSE FROM raw_ratings
+       UNION ALL SELECT 'total', (SELECT COUNT(*) FROM raw_activity) + (SELECT COUNT(*) FROM raw_ratings), FALSE""",
 )
 def _(m):
     """One source cannot be read; the others land."""

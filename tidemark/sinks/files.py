@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.records import iso_dates, sanitise
 
+# Required columns and the texts of the errors, which callers match.
 REQUIRED = ("app_id", "player_count", "timestamp")
 INTEGERS = ("app_id", "player_count")
 

@@ -34,8 +34,9 @@ def with_event_time(samples: DataFrame, horizon: str = HORIZON) -> DataFrame:
     return samples.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", horizon)
 
 
-def hourly_stream(samples: DataFrame) -> DataFrame:
-    """Tumbling one-hour roll-up per entity."""
+def hourly_stream(samples: DataFrame, newest: bool = False) -> DataFrame:
+    """Tumbling one-hour roll-up per entity; ``newest`` adds the last sample time ``_last``."""
+    last = [F.max("ts").alias("_last")] if newest else []
     rolled = with_event_time(samples).groupBy(F.window("ts", "1 hour"), "app_id", "title").agg(
         F.avg("player_count").alias("avg_ccu"),
         F.max("player_count").alias("peak_ccu"),
@@ -43,6 +44,7 @@ def hourly_stream(samples: DataFrame) -> DataFrame:
         F.avg("score").alias("avg_score"),
         F.avg("price_cents").alias("avg_price_cents"),
         F.count(F.lit(1)).alias("samples"),
+        *last,
     )
     hour = F.col("window.start").cast("timestamp_ntz").alias("hour")
     return rolled.select(hour, *[c for c in rolled.columns if c != "window"])
@@ -75,11 +77,11 @@ def upsert_stream(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("date", F.to_date("hour")).withColumn("_batch", F.lit(batch_id))
-        upsert_path(batch.sparkSession, path, rows, keys, ["_batch"], "date")
+        rows = batch.withColumn("date", F.to_date("hour"))
+        upsert_path(batch.sparkSession, path, rows, keys, ["_last", "title"], "date")
 
     return (
-        hourly_stream(samples)
+        hourly_stream(samples, newest=True)
         .writeStream.outputMode("update")
         .foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
