@@ -106,7 +106,10 @@ def tag_vocabulary(dim: DataFrame) -> DataFrame:
     return dim.select(F.explode(both).alias("tag")).distinct().orderBy("tag")
 
 
-def entity_series(df: DataFrame, key: str, value: int | str, period: str) -> DataFrame:
-    """One entity's rows in time order."""
+def entity_series(
+    df: DataFrame, key: str, value: int | str, period: str, window: Range | None = None
+) -> DataFrame:
+    """One entity's rows in time order, inside ``window`` if one is given."""
+    df = df if window is None else within(df, period, window)
     return df.where(F.col(key) == F.lit(value)).orderBy(F.col(period).asc_nulls_last())
 

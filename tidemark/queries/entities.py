@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import functions as F
 
+from tidemark.clock import trailing
 from tidemark.operators import boards, entities
 from tidemark.operators.ordering import ranked_top
 from tidemark.queries.registry import query, rounded
@@ -125,24 +128,33 @@ def _(m):
     return boards.tag_vocabulary(m.dim)
 
 
-def _series(name, table, columns, key, value, value_sql, frame, period):
+# Served windows, with moments inside the data so that older rows fall outside.
+_HOURS = trailing(datetime(2024, 1, 20, 12), 48, "hour")
+_DAYS = trailing(date(2024, 2, 15), 30, "day")
+_MONTHS = trailing(date(2024, 2, 15), 12, "month")
+
+
+def _series(name, table, columns, key, value, value_sql, frame, period, window):
     rendered = ", ".join(f"ROUND({c}, 6) AS {c}" if c.startswith("avg") else c for c in columns)
 
-    @query(name, f"SELECT {rendered} FROM {table} WHERE {key} = {value_sql}")
+    @query(
+        name,
+        f"SELECT {rendered} FROM {table} WHERE {key} = {value_sql} AND {period} >= TIMESTAMP '{window.start}'",
+    )
     def _(m):
-        return rounded(boards.entity_series(frame(m), key, value, period).select(*columns))
+        return rounded(boards.entity_series(frame(m), key, value, period, window).select(*columns))
 
 
 _series("entity_series_hour", "hourly_activity", ["hour", "app_id", "avg_ccu", "peak_ccu", "samples"],
-        "app_id", 7, "7", lambda m: m.hourly_activity(), "hour")
+        "app_id", 7, "7", lambda m: m.hourly_activity(), "hour", _HOURS)
 _series("entity_series_day", "daily_activity", ["date", "canonical_id", "avg_ccu", "peak_ccu", "samples"],
-        "canonical_id", 100007, "100007", lambda m: m.daily_activity(), "date")
+        "canonical_id", 100007, "100007", lambda m: m.daily_activity(), "date", _DAYS)
 _series("entity_series_month", "monthly_activity", ["month_start", "canonical_id", "avg_ccu", "max_peak_ccu"],
-        "canonical_id", 100007, "100007", lambda m: m.monthly_activity(), "month_start")
+        "canonical_id", 100007, "100007", lambda m: m.monthly_activity(), "month_start", _MONTHS)
 _series("entity_viewers_day", "daily_viewers", ["date", "canonical_id", "avg_viewers", "peak_viewers"],
-        "canonical_id", 100007, "100007", lambda m: m.daily_viewers(), "date")
+        "canonical_id", 100007, "100007", lambda m: m.daily_viewers(), "date", _DAYS)
 _series("entity_viewers_month", "monthly_viewers", ["month_start", "canonical_id", "avg_viewers"],
-        "canonical_id", 100007, "100007", lambda m: m.monthly_viewers(), "month_start")
+        "canonical_id", 100007, "100007", lambda m: m.monthly_viewers(), "month_start", _MONTHS)
 
 
 @query(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
+from tidemark.clock import trailing
 from tidemark.functions import display
 from tidemark.operators import boards
 from tidemark.plans import exports
@@ -19,6 +22,16 @@ _VIEWERS_DAY = ["date", "canonical_id", "channel_id", "title", "peak_viewers", "
 _VIEWERS_WIDE = ["canonical_id", "channel_id", "title", "max_peak_viewers", "total_samples"]
 
 
+# The exported windows, with days inside the data so that older rows fall outside.
+_DAYS = trailing(date(2024, 2, 15), 30, "day")
+_WEEKS = trailing(date(2024, 4, 10), 12, "week")
+_MONTHS = trailing(date(2024, 2, 15), 12, "month")
+
+
+def _served(table: str, period: str, window) -> str:
+    return f"(SELECT * FROM {table} WHERE {period} >= DATE '{window.start}') w"
+
+
 def _board_sql(table: str, metric: str, period: str, peak: str, carry: list[str], channel: bool) -> str:
     number = "NULLIF(canonical_id, 0)" if channel else "COALESCE(NULLIF(canonical_id, 0), NULLIF(app_id, 0))"
     text = f"CASE WHEN {number} IS NULL THEN NULLIF(channel_id, '') END" if channel else "CAST(NULL AS VARCHAR)"
@@ -33,24 +46,24 @@ def _board_sql(table: str, metric: str, period: str, peak: str, carry: list[str]
         WHERE n.pos = 1"""
 
 
-def _board(name, frame, table, metric, period, peak, carry, channel=False):
-    @query(name, _board_sql(table, metric, period, peak, carry, channel))
+def _board(name, frame, table, metric, period, peak, carry, window, channel=False):
+    @query(name, _board_sql(_served(table, period, window), metric, period, peak, carry, channel))
     def _(m):
         rows = frame(m).select(*carry, metric)
-        return rounded(boards.mean_board(rows, metric, period, peak))
+        return rounded(boards.mean_board(rows, metric, period, peak, window))
 
 
-_board("board_activity_day", lambda m: m.daily_activity(), "daily_activity", "avg_ccu", "date", "peak_ccu", _ACTIVITY_DAY)
+_board("board_activity_day", lambda m: m.daily_activity(), "daily_activity", "avg_ccu", "date", "peak_ccu", _ACTIVITY_DAY, _DAYS)
 _board("board_activity_week", lambda m: m.weekly_activity(), "weekly_activity", "avg_ccu", "week_start",
-       "max_peak_ccu", ["week_start", *_ACTIVITY_WIDE])
+       "max_peak_ccu", ["week_start", *_ACTIVITY_WIDE], _WEEKS)
 _board("board_activity_month", lambda m: m.monthly_activity(), "monthly_activity", "avg_ccu", "month_start",
-       "max_peak_ccu", ["month_start", *_ACTIVITY_WIDE])
+       "max_peak_ccu", ["month_start", *_ACTIVITY_WIDE], _MONTHS)
 _board("board_viewers_day", lambda m: m.daily_viewers(), "daily_viewers", "avg_viewers", "date", "peak_viewers",
-       _VIEWERS_DAY, channel=True)
+       _VIEWERS_DAY, _DAYS, channel=True)
 _board("board_viewers_week", lambda m: m.weekly_viewers(), "weekly_viewers", "avg_viewers", "week_start",
-       "max_peak_viewers", ["week_start", *_VIEWERS_WIDE], channel=True)
+       "max_peak_viewers", ["week_start", *_VIEWERS_WIDE], _WEEKS, channel=True)
 _board("board_viewers_month", lambda m: m.monthly_viewers(), "monthly_viewers", "avg_viewers", "month_start",
-       "max_peak_viewers", ["month_start", *_VIEWERS_WIDE], channel=True)
+       "max_peak_viewers", ["month_start", *_VIEWERS_WIDE], _MONTHS, channel=True)
 
 
 @query(
@@ -88,13 +101,13 @@ def _(m):
     return rounded(boards.positive(rows, "avg_score"))
 
 
-_DAY_BOARD = _board_sql("daily_activity", "avg_ccu", "date", "peak_ccu", _ACTIVITY_DAY, False)
+_DAY_BOARD = _board_sql(_served("daily_activity", "date", _DAYS), "avg_ccu", "date", "peak_ccu", _ACTIVITY_DAY, False)
 _RANK = "ROW_NUMBER() OVER (ORDER BY avg_ccu DESC, canonical_id NULLS LAST, app_id NULLS LAST)"
 
 
 def _day_board(m):
     rows = m.daily_activity().select(*_ACTIVITY_DAY, "avg_ccu")
-    return boards.mean_board(rows, "avg_ccu", "date", "peak_ccu")
+    return boards.mean_board(rows, "avg_ccu", "date", "peak_ccu", _DAYS)
 
 
 def _ranked(board):
