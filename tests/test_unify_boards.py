@@ -43,7 +43,7 @@ def test_many_null_ids_are_spread(spark):
     )
     key = unify._spread(F.col("canonical_id"), "app_id", "title")
     counts = daily.where("canonical_id is null").groupBy(key.alias("s")).count().collect()
-    assert len(counts) == unify._SPREAD and max(r["count"] for r in counts) < 200
+    assert len(counts) == 3000 and max(r["count"] for r in counts) == 1  # as many keys as rows, not a fixed number
 
 
 def test_latest_score_is_the_maximum(rows, got):

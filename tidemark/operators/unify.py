@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.clock import EVERYTHING, Range, within
 from tidemark.operators.latest import first_by
 
+
 def _spread(key: Column, *detail: str) -> Column:
     """Extra join key: 0 for real ids, a hash for NULL ids.
 
