@@ -1,9 +1,13 @@
-"""MinHash fingerprints of documents, and near-duplicate classes by signature bands.
+"""MinHash fingerprints of documents, and near-duplicate classes by shared shingles.
 
 A fingerprint holds the minima of 128 universal hash permutations over the
 five-word shingles of a text, 32 bits each, as hexadecimal text. The share of equal
 minima estimates the Jaccard similarity.
 
+Classes join texts by verified links of Jaccard 0.8 or more. Bands of a signature miss
+some similar pairs whatever their number; two such sets always share an element of
+their prefixes, so those are the candidates and no link is lost (see jaccard_join).
+
 ``edits`` needs the next document by id without a sort of all texts in one task:
 ids are dealt to ranges whose bounds are fixed beforehand, the first document of
 every range is also handed to the range before, and each range is read in order.
@@ -24,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.jaccard_join import classes, named_text, profiled, set_id
+from tidemark.llm.jaccard_join import classes, named_classes, named_text, set_id
 from tidemark.llm.prefix_tree import Similar
-from tidemark.llm.shared import WORD, shuffle_partitions
-from tidemark.llm.shingles import mix, shingle_hashes, shingle_set, word_hashes
+from tidemark.llm.shared import shuffle_partitions
+from tidemark.llm.shingles import shingle_hashes, shingle_set, word_hashes
 from tidemark.session import stage
 
 PERMUTATIONS = 128
 SHINGLE = 5
-BANDS = 16  # of 8 minima: a pair of similarity 0.8 shares one with probability 0.95
+SIMILAR = Similar(4, 5)
 _BLOCK = 1 << 13
 _random = np.random.default_rng(20240)
 _A = _random.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -91,12 +95,17 @@ def _ordered(docs: DataFrame, per_partition: int = 4) -> DataFrame:
 RESULT = pa.schema([
     ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
     ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
-    ("near_edited", pa.float64()), ("near_next", pa.float64()),
+    ("near_edited", pa.float64()), ("near_next", pa.float64()), ("node", pa.int64()),
 ])
 
 
 def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text, of its edited form, and how near they and the next text are."""
+    return _edits(named_text(docs, id_col, text_col)).drop("node")
+
+
+def _edits(named: DataFrame) -> DataFrame:
+    """:func:`edits` of ``doc_id, text``, and the shingle set as ``node``."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # range, doc_id, text, signature
         for batch in batches:
@@ -115,48 +124,30 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         new = edited(text, following)
         changed = own if new == text else signature(new)
         digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-        return (doc, len(text), digest, written(own), written(changed), likeness(own, changed), likeness(own, next_signature))
+        return (
+            doc, len(text), digest, written(own), written(changed), likeness(own, changed), likeness(own, next_signature),
+            set_id(shingle_set(text, SHINGLE)),
+        )
 
-    named = named_text(docs, id_col, text_col)
     ranged = _ordered(named).select("range", "doc_id", "text", "last")
-    spread = ranged.repartition(shuffle_partitions(docs.sparkSession), "range")
+    spread = ranged.repartition(shuffle_partitions(named.sparkSession), "range")
     in_order = spread.sortWithinPartitions("range", "last", F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, node long"
     return in_order.mapInArrow(compare, schema)
 
 
-def band_keys(docs: DataFrame) -> DataFrame:
-    """``element, node``: a hash of every band of a signature, and the shingle set it belongs to."""
-    schema = pa.schema([("element", pa.int64()), ("node", pa.int64())])
-
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            elements, nodes = [], []
-            for text in batch.column(1).to_pylist():
-                rows = signature(text).reshape(BANDS, -1).astype(np.uint64)
-                h = np.arange(BANDS, dtype=np.uint64)
-                for i in range(rows.shape[1]):
-                    h = mix(h + rows[:, i])
-                elements.append(h.view(np.int64))
-                nodes.append(np.full(BANDS, set_id(shingle_set(text, SHINGLE))))
-            if elements:
-                columns = [pa.array(np.concatenate(c)) for c in (elements, nodes)]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return docs.mapInArrow(bands, "element long, node long")
-
-
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id``: documents joined by verified links of Jaccard 0.8 or more.
-
-    Bands are joined in Spark, each signature with the smallest of its band; what
-    hangs together is then verified on the shingle sets.
-    """
-    docs = named_text(docs, id_col, text_col)
-    filled = docs.where(F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD)))
-    profile, nodes = profiled(docs, SHINGLE)
-    return classes(docs, profile, nodes, band_keys(filled), SHINGLE, Similar(4, 5))
+    """``doc_id, n_shingles, component_id``: documents joined by verified links of Jaccard 0.8 or more."""
+    return classes(*named_classes(named_text(docs, id_col, text_col), SHINGLE, SIMILAR))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    return edits(docs)
+    """:func:`edits`, with the smallest id of each document's class as ``class_id``.
+
+    Rows meet their class by shingle set, so texts that share an id, or have none,
+    are told apart.
+    """
+    docs = named_text(docs, "doc_id", "text")
+    _, known = named_classes(docs, SHINGLE, SIMILAR)
+    named = _edits(docs).join(known, "node", "left")
+    return named.withColumn("class_id", F.coalesce("component", "doc_id")).drop("node", "component")

@@ -339,13 +339,7 @@ def join(
     text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for links with Jaccard at least ``num / den``."""
-    similar = Similar(num, den)
-    docs = named_text(docs, id_col, text_col)
-    profile, nodes = profiled(docs, n)
-    total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
-    single = one_per_node(docs, profile, nodes)
-    known = frequencies(single, n, total)
-    return classes(docs, profile, nodes, prefixes(single, n, similar, known), n, similar)
+    return classes(*named_classes(named_text(docs, id_col, text_col), n, Similar(num, den)))
 
 
 def profiled(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
@@ -372,20 +366,33 @@ def one_per_node(docs: DataFrame, profile: DataFrame, nodes: DataFrame) -> DataF
     return only_with(docs, copies, count, without=True).unionByName(maybe)
 
 
-def classes(
-    docs: DataFrame, profile: DataFrame, nodes: DataFrame, keys: DataFrame, n: int, similar: Similar
+def class_names(
+    docs: DataFrame, nodes: DataFrame, keys: DataFrame, n: int, similar: Similar
 ) -> DataFrame:
-    """The result of :func:`join` for ``doc_id, text``; similar nodes share one of the ``element, node`` keys."""
+    """``node, component`` of the sets that are linked or have copies; similar nodes share one of the ``element, node`` keys."""
     keys, _ = stage(keys, "jaccard-keys")
     coarse, _ = stage(components(coarse_links(keys)), "jaccard-coarse")
     true = similar_nodes(docs, nodes.drop("copies"), coarse, n, similar)
     linked = true.join(nodes.select("node", F.col("doc_id").alias("least")), "node")
     names = linked.join(linked.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "component")
     copied = nodes.where(F.col("copies") > 1).select("node", F.col("doc_id").alias("copy_of"))
-    known, _ = stage(
+    return stage(
         names.join(copied, "node", "full").select("node", F.coalesce("component", "copy_of").alias("component")),
         "jaccard-names",
-    )
+    )[0]
+
+
+def named_classes(docs: DataFrame, n: int, similar: Similar) -> tuple[DataFrame, DataFrame]:
+    """The profile of ``doc_id, text``, and the names of its classes."""
+    profile, nodes = profiled(docs, n)
+    total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
+    single = one_per_node(docs, profile, nodes)
+    known = frequencies(single, n, total)
+    return profile, class_names(docs, nodes, prefixes(single, n, similar, known), n, similar)
+
+
+def classes(profile: DataFrame, known: DataFrame) -> DataFrame:
+    """The result of :func:`join` from what :func:`named_classes` gives."""
     named = profile.where(F.col("n_shingles") > 0).join(known, "node", "left")
     return named.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).unionByName(
         profile.where(F.col("n_shingles") == 0).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
