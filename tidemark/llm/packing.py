@@ -54,7 +54,9 @@ class TokenBytes:
     The pattern that parts a text before the merges never crosses from a
     character that is no white space into a following space, so a text may be
     cut there and its words, which repeat, be encoded once per process. The ids are
-    those of the vocabulary file, merged by rank (the rank of a merge is its id).
+    those of the vocabulary file, merged by rank (the rank of a merge is its id). The
+    file's added tokens are cut out first and have their own ids; what lies between
+    two of them is a text of its own.
     """
 
     def __init__(self, path: str):
@@ -65,25 +67,42 @@ class TokenBytes:
             "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(path), special_tokens={}
         ).encode_ordinary
         self._spaced = re.compile(r"\s ")
+        self._added = {t: np.array([i], "<u4").tobytes() for t, i in _added(path).items()}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._parts = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self._added else None
         self._known: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
         return np.array(self._encode(text), "<u4").tobytes()
 
-    def of(self, texts: Sequence[str | None]) -> Iterator[bytes]:
+    def _between(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        if self._spaced.search(text):
+            return self._plain(text)
         known = self._known
+        first, *words = text.split(" ")
+        for word in words:
+            if word not in known:
+                known[word] = self._plain(" " + word)
+        return self._plain(first) + b"".join([known[word] for word in words])
+
+    def of(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         for text in texts:
-            text = text or ""
-            if self._spaced.search(text):
-                yield self._plain(text)
-                continue
-            first, *words = text.split(" ")
-            for word in words:
-                if word not in known:
-                    known[word] = self._plain(" " + word)
-            yield self._plain(first) + b"".join([known[word] for word in words])
-            if len(known) > REMEMBERED:
-                known.clear()
+            parts = self._parts.split(text or "") if self._parts else [text or ""]
+            # Every second part is an added token.
+            yield b"".join([self._added[p] if i % 2 else self._between(p) for i, p in enumerate(parts)])
+            if len(self._known) > REMEMBERED:
+                self._known.clear()
+
+
+def _added(path: str) -> dict[str, int]:
+    """Added tokens of a vocabulary file, which are found in a text before anything else is."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens", [])
+    for token in tokens:
+        if any(token.get(flag) for flag in ("lstrip", "rstrip", "single_word")):
+            raise ValueError(f"added token {token['content']} takes in or asks for what is beside it")
+    return {t["content"]: t["id"] for t in tokens}
 
 
 def _ranks(path: str) -> dict[bytes, int]:
