@@ -10,6 +10,7 @@ import corpus_pipeline
 from tidemark.llm import (
     divergence,
     fingerprints,
+    hard_negatives,
     jaccard_join,
     language_id,
     licences,
@@ -39,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": _over("documents", jaccard_join.report),
     "op9_language_id": _over("documents", language_id.report),
     "op10_pii": _over("documents", pii.report),
+    "op11_hard_negatives": _over("embeddings", hard_negatives.report),
     "op12_line_dedup": _over("documents", line_dedup.report),
     "op13_source_divergence": _over("documents", divergence.report),
     "pipeline": corpus_pipeline.run,
@@ -50,6 +52,7 @@ ORACLES: dict[str, str] = {
     "op3_source_mixing": mixing.SQL,
     "op7_licence_scan": licences.SQL,
     "op8_ngram_jaccard_join": jaccard_join.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
     "op12_line_dedup": line_dedup.SQL,
     "op13_source_divergence": divergence.SQL,
 }
