@@ -53,6 +53,7 @@ def rows_of():
 @pytest.mark.parametrize("top, tile", [(200, 512), (4, 2)])
 def test_against_plain_loops(spark, monkeypatch, top, tile):
     monkeypatch.setattr(divergence, "WAITING", 10)
+    monkeypatch.setattr(divergence, "PART", 50)
     monkeypatch.setattr(divergence, "FLUSH", 40)
     rows = rows_of()
     docs = spark.createDataFrame(rows, "text string, lang string, source string").repartition(6)

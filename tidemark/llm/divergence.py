@@ -4,10 +4,11 @@ Counts become integer shares ``p = 1 + floor(10^9 (count + 1) / (N + V))`` of th
 language keeps; two shares differ by ``f = floor((p - q)^2 / q)``.
 
 1. Map tasks count terms per language and source in dictionaries of bounded size;
-   one shuffled sum gives exact counts, another the terms that a language keeps.
+   their shuffled sums are the exact counts and tell the terms that a language keeps.
+   Both come from one shuffle by language and term.
 2. Leading terms: ``f`` grows with a group's count and falls with the language's, and ties
    go to the earlier term. So a term with ``k`` others of a count at least as high, a language count
-   at most as high and an earlier name cannot be among the first ``k``. Every task
+   at most as high and an earlier name cannot be among the first ``k``. Every part of a group
    keeps the skyband of its terms (those that fewer than ``k`` others dominate), skybands
    are merged per group batch by batch, and what is left is ranked exactly.
 3. Pairs of sources: terms are dealt into blocks; a block's shares are a matrix of terms and
@@ -23,7 +24,6 @@ Counts may exceed 2^33: shares are divided as decimals.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -33,10 +33,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import shuffle_partitions
-from tidemark.session import remove_path, stage
+from tidemark.session import stage
 
-TERM = re.compile(rb"[a-z\x80-\xff]+")  # of UTF-8 in lower case: all code points from 0x80 on are terms
+#: Bytes of UTF-8: A to Z become a to z, those from 0x80 on stay, all others part terms.
+PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 LEAST = 3
 TOP = 200
 #: Terms that a task counts before it sends them on.
@@ -46,9 +46,11 @@ CHUNK = 1 << 20
 #: Sources that one block compares with each other.
 TILE = 512
 #: Count rows of one block.
-BLOCK = 100_000
-#: Rows of a group that wait to be merged into its skyband.
-WAITING = 20_000
+BLOCK = 50_000
+#: Rows that wait to be merged into a skyband.
+WAITING = 1 << 17
+#: Count rows of one part of all groups.
+PART = 1 << 22
 
 GROUP = ["lang", "source"]
 
@@ -59,12 +61,11 @@ def _arrow(columns: list, schema: pa.Schema) -> pa.RecordBatch:
 
 def terms(text: bytes) -> Iterator[list[bytes]]:
     """The terms of a text in pieces, so that a long text is never held as one list."""
-    text, at = text.lower(), 0  # of bytes: A to Z only
-    while at < len(text):
-        end = min(len(text), at + CHUNK)
-        while end < len(text) and TERM.match(text, end, end + 1):
-            end += 1
-        yield TERM.findall(text, at, end)
+    plain, at = text.translate(PLAIN), 0
+    while at < len(plain):
+        end = plain.find(b" ", at + CHUNK)
+        end = len(plain) if end < 0 else end
+        yield plain[at:end].split()
         at = end
 
 
@@ -77,8 +78,12 @@ def count_terms(docs: DataFrame) -> DataFrame:
         names = list(seen)
         for at in range(0, len(names), 50_000):
             part = names[at : at + 50_000]
-            yield _arrow([[group[0]] * len(part), [group[1]] * len(part), part,
-                          [seen[t] for t in part], [held[t] for t in part]], schema)
+            size = len(part)
+            yield pa.RecordBatch.from_arrays([
+                *[pa.repeat(pa.scalar(g, pa.string()), size) for g in group], pa.array(part, pa.binary()),
+                pa.array(np.fromiter(map(seen.__getitem__, part), np.int64, size)),
+                pa.array(np.fromiter(map(held.__getitem__, part), np.int64, size)),
+            ], schema=schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, Counter] = defaultdict(Counter)
@@ -147,8 +152,11 @@ def _dominators(high: np.ndarray, low: np.ndarray, their_high: np.ndarray, their
     return (high[:, None] >= their_high) & (low[:, None] <= their_low)
 
 
-def leading(rows: DataFrame, k: int) -> DataFrame:
-    """The merged skybands of ``lang, source, term, n, lang_n`` per group."""
+def leading(rows: DataFrame, n_rows: int, k: int) -> DataFrame:
+    """The merged skybands of ``lang, source, term, n, lang_n`` per group.
+
+    A group is dealt over parts by its terms, so that no task gets a hot group whole.
+    """
     kind = "lang string, source string, term binary, n long, lang_n long"
     columns = ["lang", "source", "term", "n", "lang_n"]
 
@@ -157,34 +165,18 @@ def leading(rows: DataFrame, k: int) -> DataFrame:
         rank[pc.sort_indices(table["term"]).to_numpy()] = np.arange(len(table))
         return table.take(skyband(rank, table["n"].to_numpy(), table["lang_n"].to_numpy(), k))
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, list] = defaultdict(list)
-        waiting: Counter = Counter()
-        for batch in batches:
-            lang, source = (batch.column(c).dictionary_encode() for c in GROUP)
-            code = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-            order = np.argsort(code, kind="stable")
-            cuts = np.flatnonzero(np.diff(code[order])) + 1
-            for places in np.split(order, cuts) if len(order) else []:
-                part = pa.Table.from_batches([batch.take(pa.array(places))])
-                g = part["lang"][0].as_py(), part["source"][0].as_py()
-                held[g].append(part)
-                waiting[g] += len(places)
-                if waiting[g] >= WAITING:
-                    held[g], waiting[g] = [reduced(pa.concat_tables(held[g]))], 0
-        for tables in held.values():
-            yield from reduced(pa.concat_tables(tables)).to_batches()
-
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, waiting, rows = [], [], 0
         for batch in batches:
-            waiting.append(pa.Table.from_batches([batch]))
+            waiting.append(pa.Table.from_batches([batch]).select(columns))
             rows += batch.num_rows
             if rows >= WAITING:
                 kept, waiting, rows = [reduced(pa.concat_tables(kept + waiting))], [], 0
-        yield from reduced(pa.concat_tables(kept + waiting)).to_batches()
+        yield from (reduced(pa.concat_tables(kept + waiting)) if waiting else kept[0]).to_batches()
 
-    return rows.select(*columns).mapInArrow(local, kind).groupBy(*GROUP).applyInArrow(merge, kind)
+    part = F.pmod(F.xxhash64("term"), F.lit(max(1, -(-n_rows // PART)))).cast("int").alias("part")
+    parts = rows.select(*columns, part).groupBy(*GROUP, "part").applyInArrow(merge, kind)
+    return parts.groupBy(*GROUP).applyInArrow(merge, kind)
 
 
 def pair_sums(rows: DataFrame, groups: DataFrame, n_rows: int, n_sources: int, tile: int) -> DataFrame:
@@ -194,8 +186,8 @@ def pair_sums(rows: DataFrame, groups: DataFrame, n_rows: int, n_sources: int, t
     those of a zero count.
     """
     tiles = -(-n_sources // tile)
-    # Many small blocks for a small input, so that all cores work; each repeats all sources once.
-    blocks = max(1, min(shuffle_partitions(rows.sparkSession), -(-n_rows // 2_000)), -(-n_rows // BLOCK))
+    # The blocks follow the count rows alone: each repeats all sources once and returns all their pairs.
+    blocks = max(1, -(-n_rows // BLOCK))
     of_tile = F.pmod(F.xxhash64("source"), F.lit(tiles)).cast("int")
     meets = F.explode(F.array(*[
         F.struct(F.least(of_tile, F.lit(i)).alias("a"), F.greatest(of_tile, F.lit(i)).alias("b")) for i in range(tiles)
@@ -247,21 +239,21 @@ def pair_sums(rows: DataFrame, groups: DataFrame, n_rows: int, n_sources: int, t
 
 def audit(docs: DataFrame, least: int = LEAST, top: int = TOP, tile: int = TILE) -> DataFrame:
     """``lang, source, part, item, value, rank`` of ``docs (text, lang, source)``."""
-    spark = docs.sparkSession
-    counts, counts_path = stage(
-        count_terms(docs).groupBy(*GROUP, "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "term-counts"
-    )
-    kept = (
-        counts.where(F.col("term").isNotNull()).groupBy("lang", "term")
-        .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= least).drop("docs")
+    # Map tasks send one row per group and term, so a term of all sources is few rows.
+    counts = count_terms(docs).repartition("lang", "term").groupBy(*GROUP, "term").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("docs")
     )
-    rows, rows_path = stage(counts.drop("docs").join(kept, ["lang", "term"]), "kept-terms")
-    names = counts.where(F.col("term").isNull()).select(*GROUP)
+    same = Window.partitionBy("lang", "term")
+    kept = counts.select(
+        *GROUP, "term", "n", F.sum("n").over(same).alias("lang_n"), F.sum("docs").over(same).alias("held"),
+        (F.min("source").over(same) == F.col("source")).alias("first"),
+    ).where(F.col("term").isNull() | (F.col("held") >= least))
+    stored, _ = stage(kept.drop("held"), "kept-terms")
+    rows = stored.where(F.col("term").isNotNull())
+    names = stored.where(F.col("term").isNull()).select(*GROUP)
     totals = rows.groupBy(*GROUP).agg(F.sum("n").alias("total"))
-    langs = rows.groupBy("lang", "term").agg(F.max("lang_n").alias("n")).groupBy("lang").agg(
-        F.sum("n").alias("lang_total"), F.count(F.lit(1)).alias("v")
-    )
-    groups, groups_path = stage(
+    langs = rows.where("first").groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count(F.lit(1)).alias("v"))
+    groups, _ = stage(
         names.join(totals, GROUP, "left").join(langs, "lang", "left").select(
             *GROUP, F.coalesce("v", F.lit(0)).alias("v"),
             (F.coalesce("total", F.lit(0)) + F.coalesce("v", F.lit(0))).alias("total"),
@@ -269,11 +261,10 @@ def audit(docs: DataFrame, least: int = LEAST, top: int = TOP, tile: int = TILE)
         ),
         "term-groups",
     )
-    remove_path(spark, counts_path)
-    size = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum(F.col("n") * F.col("n"))).first()
+    size = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
     n_rows = rows.count()
 
-    best = leading(rows, top).join(groups, GROUP).select(
+    best = leading(rows, n_rows, top).join(groups, GROUP).select(
         *GROUP, F.col("term").cast("string").alias("item"),
         share(F.col("n"), F.col("total")).alias("p"), share(F.col("lang_n"), F.col("lang_total")).alias("q"),
     ).where(F.col("p") > F.col("q")).select(*GROUP, F.lit("term").alias("part"), "item", differ(F.col("p"), F.col("q")).alias("value"))
