@@ -5,7 +5,7 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 names, or ``all``). Each query runs once unmeasured, then ``BENCH_RUNS`` times;
 the median counts. Results are consumed whole by Spark's ``noop`` sink. The
 ``duckdb`` block times the SQL counterpart of every query on the same files
-with as many threads.
+with as many threads. The ``stored`` block times steps over stored tables of two years.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import time
 from pathlib import Path
 
 from tidemark.queries import ORACLES, QUERIES
+from tidemark.schemas import KEYS, TABLES
 from tidemark.session import build_session
 
 HEADLINE = [
@@ -71,6 +72,45 @@ def duckdb_seconds(names: list[str], sf_dir: str, cpus: int, runs: int) -> dict[
     }
 
 
+def stored_seconds(spark, sf_dir: str, runs: int, months: int = 24) -> dict[str, float]:
+    """Steps over stored tables with a history of many months (the test days, moved back by month)."""
+    from datetime import date, datetime
+
+    from pyspark.sql import functions as F
+
+    from tidemark.clock import Range, within
+    from tidemark.operators import unify
+    from tidemark.plans import jobs
+    from tidemark.plans.store import Store
+    from tidemark.queries.binding import Model
+    from tidemark.session import scratch_path
+
+    model = Model(spark, sf_dir)
+    store = Store(spark, scratch_path(spark, "bench-store"))
+    back = F.explode(F.sequence(F.lit(0), F.lit(months - 1)))
+    for table in ("daily_activity", "daily_viewers"):
+        rows = getattr(model, table)().withColumn("back", back)
+        history = rows.withColumn("date", F.add_months("date", -F.col("back"))).dropDuplicates([*KEYS[table]])
+        store.rewrite(table, history.select(*TABLES[table].names))
+    jobs.land_batch(store, "activity", model.raw_activity)
+    last = within(model.raw_activity, "ts", Range(datetime(2024, 1, 30)))
+    inputs = jobs.Inputs(model.raw_activity, model.raw_viewers, model.raw_ratings, model.dim)
+    day = date(2024, 1, 30)
+
+    def consume(df) -> None:
+        df.write.format("noop").mode("overwrite").save()
+
+    jobs.refresh_totals(store, date(2022, 1, 1), day)
+    steps = {
+        "refresh_day": lambda: jobs.refresh_daily(store, inputs, day, day),
+        "refresh_totals": lambda: jobs.refresh_totals(store, day, day),
+        "land_day": lambda: consume(jobs.land_batch(store, "activity", last)),
+        "rankings_from_days": lambda: consume(unify.activity_totals(store.rows("daily_activity"))),
+        "rankings_from_states": lambda: consume(unify.totals_of(store.read("activity_totals"), unify.ACTIVITY)),
+    }
+    return {name: median_seconds(step, runs) for name, step in steps.items()}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -92,6 +132,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings = {n: median_seconds(lambda n=n: consume(n), runs) for n in names}
+    stored = {} if chosen else stored_seconds(spark, sf_dir, runs)
     spark.stop()
     report = {
         "metric": "headline_queries_total",
@@ -100,6 +141,7 @@ def main() -> None:
         "queries": timings,
         "sf": Path(sf_dir).name.removeprefix("sf"),
         "cpus": cpus,
+        "stored": stored,
         "duckdb": duckdb_seconds(names, sf_dir, cpus, runs),
     }
     print(json.dumps(report))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import contract, schemas
 from tidemark.operators import retain
+from tidemark.plans import exports
 from tidemark.sinks import files, tables
 from tidemark.sources import catalog, landed
 
@@ -65,11 +66,12 @@ def test_append_is_by_name(spark, rows, got, tmp_path):
 
 
 def test_typed_tables(spark, tmp_path):
-    assert len(schemas.TABLES) == 16 and schemas.KEYS.keys() == schemas.TABLES.keys()
+    assert len(schemas.TABLES) == 18 and schemas.KEYS.keys() == schemas.TABLES.keys()
     assert len(schemas.TABLES["dimension"]) == 27
-    assert contract.TABLE_NAMES.keys() == schemas.TABLES.keys()
+    # The states of the all-time figures are not published.
+    assert contract.TABLE_NAMES.keys() == schemas.TABLES.keys() - {"activity_totals", "viewer_totals"}
     prefix = f"e{time.time_ns()}_"
-    assert len(tables.create_empty_tables(spark, schemas.TABLES, str(tmp_path), prefix)) == 16
+    assert len(tables.create_empty_tables(spark, schemas.TABLES, str(tmp_path), prefix)) == 18
     assert tables.create_empty_tables(spark, schemas.TABLES, str(tmp_path), prefix) == []
     assert spark.table(prefix + "daily_viewers").schema.names == schemas.TABLES["daily_viewers"].names
 
@@ -120,3 +122,41 @@ def test_retention_boundary(rows, got):
     assert got(retain.retention_counts(raw, "ts", date(2025, 1, 15))) == [(2, 1, 1)]
     hourly = rows("hour timestamp_ntz, v long", ("2025-01-15 12:00:00", 1), ("2025-01-15 13:00:00", 2))
     assert got(retain.retain_hourly(hourly, datetime(2025, 1, 22, 12, 30)), "v") == [(2,)]
+
+
+def test_whole_files_with_broken_ones(spark, got, tmp_path):
+    (tmp_path / "a.json").write_text('{\n  "app_id": 730,\n  "name": "CS",\n  "genres": ["Action"]\n}')
+    (tmp_path / "b.json").write_text('{"app_id": 570, "name": "Do')
+    (tmp_path / "c.json").write_text('{"name": "no id"}')
+    (tmp_path / "d.json").write_text('[{"app_id": 1, "name": "x"}, {"app_id": "text", "name": "y"}, {"app_id": 2}]')
+    rows = landed.scan_whole(spark, str(tmp_path), landed.METADATA_SCHEMA)
+    (tmp_path / "e.json").write_text('[\n{"app_id": 1, "name": "x"},\n{"app_id": 2}\n]')
+    assert got(landed.sound(rows), "app_id", "name") == [(730, "CS"), (None, "no id")]
+    assert got(landed.scan_report(rows)) == [(4, 2, 2, 4, 1)]
+    rows = landed.scan_whole(spark, str(tmp_path), landed.METADATA_SCHEMA)
+    assert got(landed.sound(rows), "app_id", "name") == [(1, "x"), (2, None), (730, "CS"), (None, "no id")]
+    assert landed.scan_metadata(spark, str(tmp_path)).columns == rows.columns[:-2]
+
+
+def test_documents_are_one_file_each(spark, rows, tmp_path):
+    frame = rows("id long, name string", *[(i, f"n{i}") for i in range(5)])
+    files.write_documents(frame.select(files.pretty(F.struct("id", "name"))), str(tmp_path / "out"))
+    texts = sorted(p.read_text() for p in (tmp_path / "out").glob("*.txt") if p.stat().st_size)
+    assert len(texts) == 5 and all(t.count("\n") > 2 for t in texts)
+
+
+def test_stored_json_text_is_decoded_or_kept(rows, tmp_path):
+    import json
+
+    values = ['["a", "b"]', '{"k": [1, null]}', "", "not json", '["open', None, "7", "null", '"quoted"']
+    frame = rows("canonical_id long, title string, genres string", *[(i, "t", v) for i, v in enumerate(values)])
+    files.write_records(exports.dimension(frame), str(tmp_path / "out"))
+    lines = [json.loads(line) for p in (tmp_path / "out").glob("*.json") for line in p.read_text().splitlines()]
+
+    def kept(text):  # the rule: decode non-empty text, keep what is no JSON
+        try:
+            return json.loads(text) if text else text
+        except json.JSONDecodeError:
+            return text
+
+    assert {r["canonical_id"]: r["genres"] for r in lines} == {i: kept(v) for i, v in enumerate(values)}

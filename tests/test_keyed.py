@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import entities, upsert
-from tidemark.operators.ordering import global_position, ranked_top, top_n_per_key
+from tidemark.operators.ordering import global_position, position_by, ranked_top, top_n_per_key
 from tidemark.plans import jobs
 from tidemark.plans.store import Store
 from tidemark.schemas import TABLES
@@ -97,6 +97,23 @@ def test_global_position_is_gapless_over_many_partitions(spark):
     assert [(h, k) for _, h, k in sorted(found)] == sorted(((h, k) for _, h, k in found), key=lambda t: (-t[0], t[1]))
 
 
+def test_positions_without_a_job_or_a_copy(spark, tmp_path):
+    values = spark.range(6000, numPartitions=7).select(
+        F.expr("case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else cast(id % 11 as string) end").alias("name"),
+        F.expr("case when id % 29 = 0 then null else id * 31 % 97 end").alias("score"), "id",
+    )
+    rows = [tuple(r) for r in values.collect()]
+    spark.sparkContext.setJobGroup("lazy-positions", "")
+    numbered = position_by(values, ["name", "-score", "id"])
+    numbered.explain()
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy-positions")) == []
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is None, -(r[1] or 0), r[2]))
+    found = sorted(tuple(r) for r in numbered.select("position", "id").collect())
+    assert found == [(i + 1, r[2]) for i, r in enumerate(want)]
+    spread = numbered.groupBy(F.spark_partition_id()).count().count()
+    assert spread > 1 and position_by(values.limit(0), ["id"]).count() == 0
+
+
 def test_top_n_per_hot_key(spark, got):
     frame = spark.range(20000).select(
         F.expr("case when id % 3 = 0 then 'hot' else cast(id % 50 as string) end").alias("key"),
@@ -158,7 +175,10 @@ def test_one_failing_source_does_not_stop_the_others(spark, rows, got, tmp_path)
     store = Store(spark, str(tmp_path / "s"))
     good = rows("ts timestamp_ntz, channel_id string, title string, viewer_count long, channel_count int", ("2025-10-22 10:00:00", "9", "a", 10, 2))
     report = jobs.land_all(store, {"activity": broken, "viewers": lambda: good})
-    assert got(report) == [("activity", 0, "ConnectionError: down"), ("total", 1, None), ("viewers", 1, None)]
+    at = datetime(2025, 10, 22, 10)
+    assert got(report) == [
+        ("activity", 0, None, None, "ConnectionError: down"), ("total", 1, at, at, None), ("viewers", 1, at, at, None),
+    ]
     assert store.rows("raw_viewers").count() == 1
 
 

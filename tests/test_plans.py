@@ -74,10 +74,36 @@ def test_no_cross_joins_or_python_in_any_query(spark):
     from tidemark.queries import QUERIES
 
     side_effects = ("job_", "stream_", "write_", "scan_", "append", "ctas", "empty", "file_", "export_json",
-                    "export_dimension", "upsert_persisted", "discovery_rank", "insert_if_absent")
+                    "export_dimension", "upsert_persisted", "discovery_rank", "insert_if_absent", "unified_daily_stored", "unified_rankings_stored")
     for name, fn in QUERIES.items():
         if name.startswith(side_effects):
             continue
         text = plan(fn(spark, SF_DIR))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
             assert bad not in text, (name, bad)
+
+
+def test_bucketed_days_are_unified_without_a_shuffle(spark, model, tmp_path):
+    import uuid
+
+    from tidemark.operators.unify import DAY_KEYS, aligned_daily
+    from tidemark.sinks.tables import write_bucketed
+
+    frames = {"a": model.daily_activity(), "v": model.daily_viewers(), "r": model.ratings_daily()}
+    names = {k: f"{k}_{uuid.uuid4().hex}" for k in frames}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        for k, frame in frames.items():
+            for _ in range(2):  # the second write replaces the month
+                write_bucketed(frame, names[k], str(tmp_path / k), DAY_KEYS, 4, period="date")
+        joined = aligned_daily(*[spark.table(n) for n in names.values()])
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        columns = joined.columns
+        want = unified_daily(*frames.values()).select(*columns)
+        assert sorted(map(repr, joined.collect())) == sorted(map(repr, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        for n in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {n}")

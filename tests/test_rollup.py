@@ -142,3 +142,22 @@ def test_hot_entity_equals_brute_force(spark, got):
     expected = sorted((tuple(r) for r in want.itertuples(index=False)), key=repr)
     result = rollup.roll_up(raw, rollup.DAILY_ACTIVITY)
     assert got(result, "date", "app_id", "avg_ccu", "peak_ccu", "min_ccu", "samples") == expected
+
+
+def test_carried_means_and_latest_values_are_exact(rows, got):
+    """Uneven samples per day: the mean of means differs from the mean of all samples."""
+    raw = rows(
+        "ts timestamp_ntz, app_id long, title string, player_count long, score int",
+        ("2025-09-29 10:00:00", 1, "a", 10, 90), ("2025-09-29 10:30:00", 1, "a", 20, None), ("2025-10-01 10:00:00", 1, "a", 60, 40),
+        ("2025-10-04 09:00:00", 1, "a", None, None), ("2025-10-06 09:00:00", 1, "a", 5, None), ("2025-10-06 09:00:00", 2, "b", None, None),
+    )
+    spec = rollup.ACTIVITY_CARRIED
+    hours = rollup.carried_states(raw, spec)
+    weeks = rollup.merge_states(rollup.merge_states(hours, spec, "day"), spec, "week")
+    months = rollup.merge_states(weeks, spec, "month")
+    assert got(rollup.carried_figures(weeks, spec), "app_id", "true_avg_ccu", "true_latest_score") == [
+        (1, 30.0, 40), (1, 5.0, None), (2, None, None),
+    ]
+    assert got(rollup.carried_figures(months, spec), "period", "app_id", "true_avg_ccu", "true_avg_score", "true_latest_score") == [
+        (date(2025, 10, 1), 1, 5.0, None, None), (date(2025, 10, 1), 2, None, None, None), (date(2025, 9, 1), 1, 30.0, 65.0, 40),
+    ]

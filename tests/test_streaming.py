@@ -59,3 +59,20 @@ def test_stream_reads_a_folder_of_part_files(spark, tmp_path):
     single = QUERIES["stream_hourly"](spark, "/root/testdata/sf0.001")
     parted = QUERIES["stream_hourly"](spark, str(tmp_path))
     assert sorted(map(tuple, single.collect())) == sorted(map(tuple, parted.collect()))
+
+
+def test_late_sample_of_an_old_title_renames_nothing(spark, rows, got, tmp_path):
+    """Two micro-batches: the second brings an older sample under another title."""
+    first = rows(RAW, ("2025-01-01 10:50:00", 1, "new", 30, None, None))
+    first.coalesce(1).write.parquet(str(tmp_path / "in"))
+
+    def run():
+        source = live.file_stream(spark, str(tmp_path / "in"), first.schema)
+        live.upsert_stream(source, str(tmp_path / "t"), str(tmp_path / "cp")).awaitTermination()
+        return got(spark.read.parquet(str(tmp_path / "t")), "app_id", "title", "peak_ccu", "last_ts")
+
+    assert run() == [(1, "new", 30, datetime(2025, 1, 1, 10, 50))]
+    rows(RAW, ("2025-01-01 10:10:00", 1, "old", 99, None, None)).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run() == [(1, "new", 30, datetime(2025, 1, 1, 10, 50))]
+    rows(RAW, ("2025-01-01 10:55:00", 1, "renamed", 5, None, None)).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run() == [(1, "renamed", 5, datetime(2025, 1, 1, 10, 55))]

@@ -3,7 +3,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tidemark.functions import display
-from tidemark.operators import boards, unify
+from tidemark.operators import boards, skew, unify
 from tidemark.plans import exports
 
 ACT = "date date, canonical_id long, app_id long, title string, avg_ccu double, peak_ccu long, min_ccu long, avg_score double, avg_price_cents double, samples long"
@@ -41,7 +41,7 @@ def test_many_null_ids_are_spread(spark):
         F.expr("case when id % 3 = 0 then null else id end").alias("canonical_id"),
         F.col("id").alias("app_id"), F.lit("t").alias("title"),
     )
-    key = unify._spread(F.col("canonical_id"), "app_id", "title")
+    key = skew.spread_nulls(F.col("canonical_id"), "app_id", "title")
     counts = daily.where("canonical_id is null").groupBy(key.alias("s")).count().collect()
     assert len(counts) == 3000 and max(r["count"] for r in counts) == 1  # as many keys as rows, not a fixed number
 
@@ -109,3 +109,39 @@ def test_top_tags(spark):
     frame = spark.createDataFrame([({"a": 5, "b": 9, "c": 5, "d": 1, "e": 2, "f": 3},), (None,)], "tags map<string,bigint>")
     found = [r.t for r in frame.select(display.top_tags(F.col("tags")).alias("t")).collect()]
     assert found == [["b", "a", "c", "f", "e"], None]
+
+
+def test_full_join_of_splittable_joins(spark, rows, got):
+    left = rows("k long, d long, a string", (1, 1, "x"), (1, 1, "y"), (2, 1, "z"), (None, 1, "n"), (None, None, "m"))
+    right = rows("k long, d long, b string", (1, 1, "u"), (1, 2, "v"), (3, 1, "w"), (None, 1, "o"), (1, 1, "t"))
+    want = left.join(right, ["k", "d"], "full").select("k", "d", "a", "b")
+    assert got(skew.full_join(left, right, ["k", "d"])) == got(want)
+    plan = skew.full_join(left, right, ["k", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and plan.count("LeftAnti") == 2
+
+
+def test_missing_ids_are_dealt_over_the_tasks_of_a_join(spark, got):
+    entities = spark.range(4000).select(
+        F.col("id").alias("canonical_id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("app_id")
+    )
+    details = spark.range(0, 4000, 4).select(F.col("id").alias("app_id"), F.lit("d").alias("text"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", 16)
+        joined = skew.left_join(entities, details, "app_id", "canonical_id")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert len(sizes) == 16 and max(sizes) < 2 * 4000 / 16
+        plain = entities.join(details, "app_id", "left").select(*joined.columns)
+        assert got(joined) == got(plain)
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+
+
+def test_skewed_rankings_equal_the_plain_ones(rows, got):
+    a = rows(ACT, *[("2025-10-22", i, k, "a", 1.0, 2 + k, 1, None, None, 1) for k, i in ((1, 1), (2, 1), (3, None), (4, 2))])
+    v = rows(VIEW, *[("2025-10-22", i, k, "v", 5.0, 6, 5, 1.0, 1) for k, i in (("x", 1), ("y", None), ("z", 9))])
+    a, v = unify.activity_totals(a), unify.viewer_totals(v)
+    assert got(unify.join_totals_skewed(a, v)) == got(unify.join_totals(a, v))

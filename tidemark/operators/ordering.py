@@ -35,6 +35,54 @@ def global_position(df: DataFrame, order: Sequence[Column], out: str = "position
     return joined.withColumn(out, F.col("__start") + F.col("__row") + 1).select(*df.columns, out)
 
 
+#: Rows that the bounds of ``position_by`` are taken from; all rows are numbered.
+_SAMPLE = 2_000
+
+
+def position_by(df: DataFrame, order: Sequence[str], out: str = "position", parts: int | None = None) -> DataFrame:
+    """Number all rows 1..n by the named columns, ``-name`` for descending, without a job or a stored copy.
+
+    Bounds of ``parts`` ranges come from a bounded sample by hash, as a subquery; rows are
+    counted per range and numbered within theirs, so no task sees more than a range. ``df`` is
+    read three times, and must give the same rows each time; rows equal in all of ``order``
+    are numbered in any order, in one range.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names, falls = [o.removeprefix("-") for o in order], [o.startswith("-") for o in order]
+    key = F.struct(*[F.col(n).alias(f"k{i}") for i, n in enumerate(names)])
+
+    def before(a: Column, b: Column) -> Column:
+        """Whether key ``a`` comes before ``b``: NULLs first in ascending order, last in descending."""
+        found, same = F.lit(False), F.lit(True)
+        for i, fall in enumerate(falls):
+            x, y = a[f"k{i}"], b[f"k{i}"]
+            less = (x > y) | (x.isNotNull() & y.isNull()) if fall else (x < y) | (x.isNull() & y.isNotNull())
+            found = found | (same & F.coalesce(less, F.lit(False)))
+            same = same & x.eqNullSafe(y)
+        return found
+
+    def compare(a: Column, b: Column) -> Column:
+        return F.when(before(a, b), -1).when(before(b, a), 1).otherwise(0)
+
+    sample = df.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(_SAMPLE)
+    ordered = sample.agg(F.array_sort(F.collect_list("key"), compare).alias("keys"))  # at most _SAMPLE keys
+    step = F.greatest(F.lit(1), F.ceil(F.size("keys") / parts))
+    bounds = ordered.select(F.filter("keys", lambda k, i: (i + 1) % step == 0)).scalar()
+    # A key's range is the number of bounds before it.
+    ranged = df.withColumns({"__key": key, "__bounds": bounds}).withColumn(
+        "__part", F.size(F.filter("__bounds", lambda b: before(b, F.col("__key"))))
+    ).drop("__bounds", "__key")
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+        .select("__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__start"))
+    )
+    within = Window.partitionBy("__part").orderBy(*[F.desc(n) if fall else F.asc(n) for n, fall in zip(names, falls)])
+    numbered = ranged.withColumn("__row", F.row_number().over(within))
+    joined = numbered.join(F.broadcast(starts), "__part")  # one row per range, at most ``parts`` + 1
+    return joined.withColumn(out, F.col("__start") + F.col("__row")).select(*df.columns, out)
+
+
 def ranked_top(df: DataFrame, order: Sequence[Column], n: int, out: str = "position") -> DataFrame:
     """The first ``n`` rows by ``order``, numbered; the window sees only those rows."""
     return df.orderBy(*order).limit(n).withColumn(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import first_by
+from tidemark.operators.skew import left_join
 
 # Source codes of the external-id catalogue.
 APP_SOURCE = 1
@@ -45,10 +46,13 @@ def resolve_names(df: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def enrich_entities(base: DataFrame, platform_ids: DataFrame, details: DataFrame) -> DataFrame:
-    """Base metadata + platform ids + optional store details, one row per entity."""
+    """Base metadata + platform ids + optional store details, one row per entity.
+
+    Most entities may have no app id; they are dealt over all tasks of the store join.
+    """
     ids = base.join(platform_ids, "canonical_id", "left")
     store = details.select("app_id", "store_description", "required_age")
-    return ids.join(store, "app_id", "left")
+    return left_join(ids, store, "app_id", "canonical_id")
 
 
 def store_full_metadata(details: DataFrame, tags: DataFrame) -> DataFrame:

@@ -172,3 +172,50 @@ def monthly_activity(weekly: DataFrame, window: Range = EVERYTHING) -> DataFrame
 
 def monthly_viewers(weekly: DataFrame, window: Range = EVERYTHING) -> DataFrame:
     return roll_up(weekly, MONTHLY_VIEWERS, window)
+
+
+@dataclass(frozen=True)
+class Carried:
+    """Figures that stay exact over all grains: a mean as sum and number, and a last known value."""
+
+    keys: tuple[str, ...]
+    means: dict[str, str]  # published name -> sample column
+    lasts: dict[str, str]
+
+
+ACTIVITY_CARRIED = Carried(
+    ("app_id", "title"), {"true_avg_ccu": "player_count", "true_avg_score": "score"}, {"true_latest_score": "score"}
+)
+VIEWERS_CARRIED = Carried(
+    ("channel_id", "title"), {"true_avg_viewers": "viewer_count", "true_avg_channels": "channel_count"}, {}
+)
+
+
+def _last_known(at: str, value: str) -> Column:
+    """The value of the newest row that has one, with its time; the greatest of several at one time."""
+    return F.max(F.when(F.col(value).isNotNull(), F.struct(F.col(at).alias("at"), F.col(value).alias("value"))))
+
+
+def carried_states(raw: DataFrame, spec: Carried, grain: str = "hour", window: Range = EVERYTHING) -> DataFrame:
+    """The mergeable state of one grain, straight from samples: ``period``, keys and states."""
+    rows = within(raw, "ts", window)
+    means = [
+        part for out, source in spec.means.items()
+        for part in (F.sum(F.col(source).cast("double")).alias(f"{out}_sum"), F.count(source).alias(f"{out}_n"))
+    ]
+    lasts = [_last_known("ts", source).alias(out) for out, source in spec.lasts.items()]
+    return rows.groupBy(period_key("ts", grain).alias("period"), *spec.keys).agg(*means, *lasts)
+
+
+def merge_states(states: DataFrame, spec: Carried, grain: str) -> DataFrame:
+    """States of a finer grain merged to a coarser one; a week counts in the month of its Monday."""
+    sums = [F.sum(f"{out}_{part}").alias(f"{out}_{part}") for out in spec.means for part in ("sum", "n")]
+    lasts = [F.max(out).alias(out) for out in spec.lasts]  # structs of time and value
+    return states.groupBy(period_key("period", grain).alias("period"), *spec.keys).agg(*sums, *lasts)
+
+
+def carried_figures(states: DataFrame, spec: Carried) -> DataFrame:
+    """Means over all samples and the last known values, under names of their own."""
+    means = [F.try_divide(f"{out}_sum", f"{out}_n").alias(out) for out in spec.means]
+    lasts = [F.col(out)["value"].alias(out) for out in spec.lasts]
+    return states.select("period", *spec.keys, *means, *lasts)

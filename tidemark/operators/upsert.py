@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import ends_by, first_by, latest_by
@@ -151,6 +151,21 @@ def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, partitio
     finish_pending(spark, path, partition)
 
 
+def not_outdated(updates: DataFrame, stored: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """Updates without those whose key is stored with a higher version."""
+    held = stored.groupBy(*keys).agg(F.max(version).alias("__held"))
+    judged = updates.join(held, list(keys), "left")
+    newer = F.col("__held").isNotNull() & (F.col(version).isNull() | (F.col("__held") > F.col(version)))
+    return judged.where(~newer).select(*updates.columns)
+
+
+def of_periods(column: str, periods: Sequence) -> Column:
+    """Rows of the named periods as a condition of literals, which prunes folders; NULL is one of them."""
+    known = [p for p in periods if p is not None]
+    chosen = F.col(column).isin(known) if known else F.lit(False)
+    return chosen | F.col(column).isNull() if len(known) < len(periods) else chosen
+
+
 def upsert_path(
     spark: SparkSession,
     path: str,
@@ -158,9 +173,13 @@ def upsert_path(
     keys: Sequence[str],
     order: Sequence[str],
     partition: str,
+    version: str | None = None,
 ) -> None:
     """Persisted whole-row upsert of a period-partitioned table.
 
+    ``version`` names a stored column that decides against the stored row: an update of a
+    lower version than the stored one changes nothing. NULL is the lowest version.
+
     Only the periods named by the batch are read, merged and rewritten, so the
     cost follows the batch, not the history. Re-running a batch changes nothing.
     Columns starting with an underscore only order the batch and are not stored.
@@ -175,7 +194,9 @@ def upsert_path(
         stored = spark.read.schema(fresh.select(*columns).schema).parquet(path)
         # Literal folder values: only they prune the scan. A batch names few periods.
         periods = [r[0] for r in fresh.select(partition).distinct().collect()]
-        touched = stored.where(F.col(partition).isin(periods))
+        touched = stored.where(of_periods(partition, periods))
+        if version is not None:
+            fresh = not_outdated(fresh, touched, keys, version)
         untouched = touched.join(fresh.select(*keys), list(keys), "left_anti")
         merged = untouched.select(*columns).unionByName(fresh.select(*columns))
         replace_partitions(spark, path, merged, partition)

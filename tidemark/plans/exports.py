@@ -6,11 +6,13 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from tidemark.clock import trailing, within
-from tidemark.functions.records import encode
+from tidemark.clock import Range, trailing, within
+from tidemark.functions.records import encode, typed_json
+from tidemark.operators import unify
 from tidemark.operators.entities import LIST_COLUMNS
-from tidemark.operators.unify import activity_totals, unified_daily, unified_rankings, viewer_totals
+from tidemark.sinks.tables import MONTH
 
 
 def _recent(df: DataFrame, period: str, metric: str, as_of: date | datetime, amount: int, unit: str) -> DataFrame:
@@ -62,34 +64,69 @@ def ratings_monthly(monthly: DataFrame, as_of: date, months: int = 12) -> DataFr
 
 
 def rankings_activity(daily: DataFrame) -> DataFrame:
-    return activity_totals(daily).orderBy(F.col("avg_peak_ccu").desc_nulls_last())
+    return ranked_activity(unify.activity_totals(daily))
 
 
 def rankings_viewers(daily: DataFrame) -> DataFrame:
-    return viewer_totals(daily).orderBy(F.col("avg_peak_viewers").desc_nulls_last())
+    return ranked_viewers(unify.viewer_totals(daily))
 
 
 def rankings_unified(activity: DataFrame, viewers: DataFrame) -> DataFrame:
+    return ranked_unified(unify.unified_rankings(activity, viewers))
+
+
+def ranked_activity(totals: DataFrame) -> DataFrame:
+    return totals.orderBy(F.col("avg_peak_ccu").desc_nulls_last())
+
+
+def ranked_viewers(totals: DataFrame) -> DataFrame:
+    return totals.orderBy(F.col("avg_peak_viewers").desc_nulls_last())
+
+
+def ranked_unified(joined: DataFrame) -> DataFrame:
     both = F.coalesce("avg_peak_ccu", F.lit(0)) + F.coalesce("avg_peak_viewers", F.lit(0))
-    return unified_rankings(activity, viewers).orderBy(both.desc())
+    return joined.orderBy(both.desc())
 
 
 def daily_unified(
     activity: DataFrame, viewers: DataFrame, ratings: DataFrame, as_of: date, days: int = 30
 ) -> DataFrame:
-    rows = unified_daily(activity, viewers, ratings, trailing(as_of, days, "day"))
+    return _by_day(unify.unified_daily(activity, viewers, ratings, trailing(as_of, days, "day")))
+
+
+def daily_aligned(
+    activity: DataFrame, viewers: DataFrame, ratings: DataFrame, as_of: date, days: int = 30
+) -> DataFrame:
+    """``daily_unified`` of tables in equal buckets: only the final sort shuffles."""
+    months = trailing(as_of, days, "day")
+    recent = [
+        within(t, MONTH, Range(months.start.replace(day=1))) if MONTH in t.columns else t for t in (activity, viewers, ratings)
+    ]
+    return _by_day(unify.aligned_daily(*recent, months))
+
+
+def _by_day(rows: DataFrame) -> DataFrame:
     both = F.coalesce("peak_ccu", F.lit(0)) + F.coalesce("peak_viewers", F.lit(0))
     return rows.orderBy(F.col("date").desc_nulls_last(), both.desc())
 
 
+JSON_COLUMNS = (*LIST_COLUMNS, "websites")
+
+
 def dimension(dim: DataFrame) -> DataFrame:
-    """The entity dimension by name, with times as text."""
+    """The entity dimension by name, with times as text.
+
+    Lists and maps that are stored as JSON text are decoded; text that is no JSON stays.
+    """
     times = ("first_release_date", "discovery_date", "last_updated")
     text = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in times if c in dim.columns}
-    return dim.withColumns(text).orderBy(F.col("title").asc_nulls_last())
+    stored = {
+        c: typed_json(c) for c in JSON_COLUMNS if c in dim.columns and isinstance(dim.schema[c].dataType, StringType)
+    }
+    return dim.withColumns({**text, **stored}).orderBy(F.col("title").asc_nulls_last())
 
 
 def flatten_lists(df: DataFrame) -> DataFrame:
     """Lists and maps as JSON text, for consumers with flat columns."""
-    nested = [c for c in (*LIST_COLUMNS, "websites") if c in df.columns]
+    nested = [c for c in JSON_COLUMNS if c in df.columns]
     return df.withColumns({c: encode(c) for c in nested})

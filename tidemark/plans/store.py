@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.upsert import finish_pending, path_exists, replace_partitions, upsert_path
+from tidemark.operators.upsert import finish_pending, of_periods, path_exists, replace_partitions, upsert_path
+from tidemark.plans import tallies
 from tidemark.schemas import KEYS, TABLES
+from tidemark.session import remove_path
 
 # Folder column of each stored table; tables without a period are spread by key.
 FOLDERS = {
@@ -25,6 +29,8 @@ FOLDERS = {
     "monthly_activity": "month_start",
     "monthly_viewers": "month_start",
     "ratings_monthly": "month_start",
+    "activity_totals": "month_start",
+    "viewer_totals": "month_start",
     "worklist": "bucket",
     "dimension": "bucket",
 }
@@ -80,6 +86,43 @@ class Store:
     def recover(self, table: str) -> None:
         """Finish an overwrite that broke off; every write does so before it reads."""
         finish_pending(self.spark, self.path(table), FOLDERS[table])
+        if table in tallies.TALLIES:
+            self._settle(table)
+
+    # -- tallies -------------------------------------------------------
+    def tally_path(self, table: str) -> str:
+        return f"{self.path(table)}.tally"
+
+    def _settle(self, table: str) -> None:
+        """Renew the tally of the days that a write has noted as due."""
+        due = f"{self.tally_path(table)}.due"
+        if path_exists(self.spark, f"{due}/_SUCCESS"):
+            days = [r[0] for r in self.spark.read.schema("date DATE").parquet(due).collect()]
+            rows = self.read(table).where(of_periods("date", days))
+            replace_partitions(self.spark, self.tally_path(table), tallies.per_day(rows, table), "date")
+        if path_exists(self.spark, due):
+            remove_path(self.spark, due)
+
+    def write_tallied(self, table: str, days: Sequence[date | None], write: Callable[[], None]) -> None:
+        """Run ``write``, which touches the folders ``days`` only, and renew their tally.
+
+        The days are noted first; a run that breaks off in between leaves the note, and
+        ``recover`` renews the tally before the next write.
+        """
+        if path_exists(self.spark, self.path(table)) and not path_exists(self.spark, self.tally_path(table)):
+            # A table from before tallies were kept is counted once.
+            days = [r[0] for r in self.read(table).select("date").distinct().collect()] + list(days)
+        note = self.spark.createDataFrame([(d,) for d in dict.fromkeys(days)], "date DATE")
+        note.coalesce(1).write.mode("overwrite").parquet(f"{self.tally_path(table)}.due")
+        write()
+        self._settle(table)
+
+    def totals(self, table: str) -> DataFrame:
+        """Figures of the whole table, from its tally alone."""
+        path, schema = self.tally_path(table), tallies.schema(table)
+        stored = path_exists(self.spark, path)
+        tally = self.spark.read.schema(schema).parquet(path) if stored else self.spark.createDataFrame([], schema)
+        return tallies.totals(tally, table)
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows whose keys are known to be absent; stored files stay as they are."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import payload
 from tidemark.operators import discover, resolve, topk, viewership
-from tidemark.operators.ordering import global_position
+from tidemark.operators.ordering import position_by
 from tidemark.queries.binding import CATALOGUE_NOW
 from tidemark.queries.registry import query, rounded
 from tidemark.sinks.files import tracked_to_map
@@ -123,7 +123,7 @@ def _(m):
 )
 def _(m):
     rows = m.catalogue.select("id", "rating_count")
-    return global_position(rows, [F.col("rating_count").desc(), F.col("id")], "discovery_rank")
+    return position_by(rows, ["-rating_count", "id"], "discovery_rank")
 
 
 # -- id resolution -------------------------------------------------------

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from tidemark.clock import Range
+
 from tidemark.operators import unify
 from tidemark.plans import exports
 from tidemark.queries.binding import AS_OF, AS_OF_TS
-from tidemark.queries.registry import query, rounded
+from tidemark.queries.registry import ORACLES, query, rounded
 from tidemark.queries.rollups import _CCU, _VIEWERS, _WIDE_CCU, _WIDE_VIEWERS
 from tidemark.session import scratch_path
+from tidemark.sinks import tables
 from tidemark.sinks.files import write_records
 
 
@@ -166,6 +174,26 @@ def _(m):
     )
 
 
+@query("unified_daily_stored", f"SELECT * FROM ({ORACLES['unified_daily']}) s")
+def _(m):
+    """The unified frame from tables in equal buckets, the later days written by a second batch."""
+    stored = []
+    for label, frame in (("activity", m.daily_activity), ("viewers", m.daily_viewers), ("ratings", m.ratings_daily)):
+        name, path = f"bucketed_{label}_{uuid.uuid4().hex}", scratch_path(m.spark, f"bucketed-{label}")
+        tables.write_bucketed(frame(Range(None, date(2024, 1, 20))), name, path, unify.DAY_KEYS, 8, period="date")
+        # A batch replaces the months it holds, so it brings the whole month.
+        tables.write_bucketed(frame(Range(date(2024, 1, 1))), name, path, unify.DAY_KEYS, 8, period="date")
+        stored.append(m.spark.table(name))
+    return rounded(exports.daily_aligned(*stored, AS_OF))
+
+
+@query("unified_rankings_skewed", f"SELECT * FROM ({ORACLES['unified_rankings']}) s")
+def _(m):
+    """The unified ranking by joins that Spark can split at a hot canonical id."""
+    joined = unify.join_totals_skewed(unify.activity_totals(m.daily_activity()), unify.viewer_totals(m.daily_viewers()))
+    return rounded(exports.ranked_unified(joined))
+
+
 @query(
     "entity_profile",
     """SELECT d.canonical_id, d.title, d.app_id, ROUND(a.avg_ccu, 6) AS avg_ccu,
@@ -206,3 +234,40 @@ def _(m):
     path = scratch_path(m.spark, "export-dimension")
     write_records(frame, path)
     return exports.flatten_lists(m.spark.read.schema(frame.schema).json(path))
+
+
+# The same five forms of stored text for lists and links, as Spark and DuckDB expressions alike.
+_TEXTS = """CASE WHEN c_nationkey % 6 = 0 THEN NULL
+                 WHEN c_nationkey % 6 = 1 THEN ''
+                 WHEN c_nationkey % 6 = 2 THEN '["' || c_mktsegment || '", "Shared"]'
+                 WHEN c_nationkey % 6 = 3 THEN '{{"main": {{"id": ' || c_custkey || ', "ok": true}}}}'
+                 WHEN c_nationkey % 6 = 4 THEN 'Action, {0}'
+                 ELSE '["open' END"""
+
+
+@query(
+    "export_dimension_text",
+    f"""WITH t AS (SELECT c_custkey + 100000 AS canonical_id, {_TEXTS.format("RPG")} AS genres, {_TEXTS.format("site")} AS websites FROM customer)
+        SELECT canonical_id,
+               CASE WHEN genres IS NULL THEN 'none' WHEN genres IN ('', 'Action, RPG', '["open') THEN 'text' ELSE 'typed' END AS kind,
+               CASE WHEN genres IN ('', 'Action, RPG', '["open') THEN CAST(to_json(genres) AS VARCHAR)
+                    ELSE replace(genres, ' ', '') END AS genres,
+               CASE WHEN websites IN ('', 'Action, site', '["open') THEN CAST(to_json(websites) AS VARCHAR)
+                    ELSE replace(websites, ' ', '') END AS websites
+        FROM t""",
+)
+def _(m):
+    """Lists and links stored as JSON text: typed where they are JSON, text as it is elsewhere."""
+    dim = m.table("customer").selectExpr(
+        "c_custkey + 100000 AS canonical_id", "c_name AS title",
+        f"{_TEXTS.format('RPG')} AS genres", f"{_TEXTS.format('site')} AS websites",
+    )
+    path = scratch_path(m.spark, "export-dimension-text")
+    write_records(exports.dimension(dim), path)
+    back = m.spark.read.schema("canonical_id BIGINT, genres VARIANT, websites VARIANT").json(path)
+    form = F.schema_of_variant("genres")
+    return back.select(
+        "canonical_id",
+        F.when(form.isNull() | (form == "VOID"), "none").when(form == "STRING", "text").otherwise("typed").alias("kind"),
+        *[F.nullif(F.to_json(c), F.lit("null")).alias(c) for c in ("genres", "websites")],
+    )

@@ -8,14 +8,14 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.contract import publish
+from tidemark.contract import adopt, publish
 from tidemark.functions import payload
 from tidemark.operators import retain, viewership
 from tidemark.queries.binding import activity_of
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path
 from tidemark.sinks import files, tables
-from tidemark.sources import catalog, inventory, landed
+from tidemark.sources import catalog, landed
 
 _SAMPLES = "SELECT ts AS timestamp, app_id, title, player_count, is_free{0} FROM raw_activity"
 
@@ -215,45 +215,69 @@ def _(m):
     return listing.join(tall, "column_name")
 
 
+def _report_sql(files, records, broken):
+    names = ("files", "records", "broken_files", "broken_records", "keyless_records")
+    counts = dict(zip(names, (files, records, broken, broken, "SELECT 0")))
+    return " UNION ALL ".join(f"SELECT '{n}' AS figure, CAST(({q}) AS BIGINT) AS value" for n, q in counts.items())
+
+
+def _figures(report):
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("figure"), F.col(c).alias("value")) for c in report.columns]))
+    return report.select(pairs.alias("p")).select("p.*")
+
+
 @query(
     "scan_landed_metadata",
-    """SELECT p_partkey AS app_id, p_name AS name, free_flag AS is_free,
+    f"""SELECT p_partkey AS app_id, p_name AS name, free_flag AS is_free,
               CASE WHEN p_size >= 5 THEN p_brand ELSE '' END AS developers,
-              CASE WHEN free_flag OR p_brand = 'Brand#1' THEN 0 ELSE (cents - p_size * 10) / 100 END AS price
-       FROM store_base""",
+              CASE WHEN free_flag OR p_brand = 'Brand#1' THEN 0 ELSE (cents - p_size * 10) / 100 END AS price,
+              NULL AS figure, NULL AS value
+       FROM store_base WHERE p_size <> 7
+       UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, figure, value FROM ({_report_sql(
+           "SELECT COUNT(*) FROM store_base", "SELECT COUNT(*) FROM store_base WHERE p_size <> 7",
+           "SELECT COUNT(*) FROM store_base WHERE p_size = 7")}) r""",
 )
 def _(m):
+    """One indented object per file; the files of one size are cut off in the middle."""
     path = scratch_path(m.spark, "metadata")
-    payload.store_metadata(m.store_landed).write.json(path)
-    rows = landed.scan_metadata(m.spark, path, whole_files=False)
-    return rows.select(
+    rows = payload.store_metadata(m.store_landed).join(m.table("part").select(F.col("p_partkey").alias("app_id"), "p_size"), "app_id")
+    text = files.pretty(F.struct(*[c for c in rows.columns if c != "p_size"]))
+    cut = F.when(F.col("p_size") == 7, F.left(text, (F.length(text) / 2).cast("int"))).otherwise(text)
+    files.write_documents(rows.select(cut.alias("value")), path)
+    scanned = landed.scan_whole(m.spark, path, landed.METADATA_SCHEMA)
+    found = landed.sound(scanned).select(
         "app_id", "name", "is_free", F.array_join("developers", "|").alias("developers"),
         F.col("price_info.price").alias("price"),
     )
+    return found.unionByName(_figures(landed.scan_report(scanned)), allowMissingColumns=True)
 
 
 @query(
     "scan_landed_viewership",
-    """SELECT p.p_partkey AS app_id, CAST(p.p_partkey AS VARCHAR) AS channel_id,
+    f"""SELECT p.p_partkey AS app_id, CAST(p.p_partkey AS VARCHAR) AS channel_id,
               CAST(COALESCE(SUM(s.viewer_count), 0) AS BIGINT) AS viewer_count, COUNT(s.channel_id) AS channel_count,
-              COUNT(CASE WHEN s.n <= 3 THEN 1 END) AS leaders
+              COUNT(CASE WHEN s.n <= 3 THEN 1 END) AS leaders, NULL AS figure, NULL AS value
        FROM part p LEFT JOIN streams_ranked s ON s.channel_id = CAST(p.p_partkey AS VARCHAR)
-       GROUP BY 1, 2""",
+       WHERE p.p_size <> 7 GROUP BY 1, 2
+       UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, figure, value FROM ({_report_sql(
+           "SELECT COUNT(DISTINCT p_size) FROM part", "SELECT COUNT(*) FROM part WHERE p_size <> 7",
+           "SELECT COUNT(DISTINCT p_size) FROM part WHERE p_size = 7")}) r""",
 )
 def _(m):
+    """One array per file, a file per size of part; one file is no JSON."""
     path = scratch_path(m.spark, "viewership")
-    rows = viewership.viewership(m.requested, m.streams)
-    publish(rows).write.json(path)
-    back = landed.scan_viewership(m.spark, path, whole_files=False)
-    return back.select(
+    rows = publish(viewership.viewership(m.requested, m.streams))
+    sized = rows.join(m.table("part").select(F.col("p_partkey").alias("steam_app_id"), "p_size"), "steam_app_id")
+    record = F.struct(*[c for c in sized.columns if c != "p_size"])
+    arrays = sized.groupBy("p_size").agg(files.pretty(F.collect_list(record)).alias("text"))
+    broken = F.when(F.col("p_size") == 7, F.concat(F.lit("<html>"), "text")).otherwise(F.col("text"))
+    files.write_documents(arrays.select(broken.alias("value")), path)
+    scanned = landed.scan_whole(m.spark, path, landed.VIEWERSHIP_SCHEMA)
+    found = adopt(landed.sound(scanned), "raw_viewers").select(
         "app_id", "channel_id", "viewer_count", "channel_count",
         F.size("top_streams").cast("bigint").alias("leaders"),
     )
-
-
-@query("scan_file_inventory")
-def _(m):
-    return inventory.file_inventory(m.spark, m.sf_dir)
+    return found.unionByName(_figures(landed.scan_report(scanned)), allowMissingColumns=True)
 
 
 def _later(days):

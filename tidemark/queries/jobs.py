@@ -44,6 +44,13 @@ _EXPORTED = [
 ]
 
 
+def with_statement(name):
+    """The statement of an exported frame, for a query that reaches it by another way."""
+    from tidemark.queries import exports  # noqa: F401  (registers the statement)
+
+    return f"SELECT * FROM ({ORACLES[name]}) s"
+
+
 def _counts_sql():
     from tidemark.queries import exports  # noqa: F401  (registers the statements used here)
 
@@ -116,26 +123,52 @@ _DISCOVERED = """
     FROM catalogue WHERE rating_count > 50 ORDER BY rating_count DESC, id LIMIT 100"""
 
 
+def _proposals_sql():
+    """Proposals of all sources in turn, from the statements of the discovery queries."""
+    from tidemark.queries import discovery  # noqa: F401  (registers the statements used here)
+
+    named = "SELECT {turn} AS turn, '{source}' AS discovery_source, {id} AS canonical_id, {title} AS title, ROW_NUMBER() OVER (ORDER BY position) AS discovery_rank FROM ({sql}) x"
+    plain = "COALESCE(name, 'Game ' || CAST(id AS VARCHAR))"
+    parts = (
+        ("igdb-popular", "discover_popular", "id", plain),
+        ("igdb-recent", "discover_recent", "id", plain),
+        ("igdb-highest-rated", "discover_highest_rated", "id", plain),
+        ("igdb-upcoming", "discover_upcoming", "id", plain),
+        ("steam-top-ccu", "discover_top_activity", "canonical_id", "title"),
+        ("twitch-trending", "discover_trending_streams", "canonical_id", "title"),
+    )
+    return " UNION ALL ".join(
+        named.format(turn=i, source=s, id=key, title=title, sql=ORACLES[name].replace("LIMIT 50", "LIMIT 100")) for i, (s, name, key, title) in enumerate(parts)
+    )
+
+
 @query(
     "job_discover",
-    f"""SELECT canonical_id, title, enriched, discovery_source, discovery_rank FROM worklist
-        UNION ALL
-        SELECT canonical_id, title, FALSE, 'igdb-popular', discovery_rank FROM ({_DISCOVERED}) p
-        WHERE NOT EXISTS (SELECT 1 FROM worklist w WHERE w.canonical_id = p.canonical_id)
+    f"""WITH proposals AS ({_proposals_sql()}), firsts AS (
+          SELECT * FROM proposals p WHERE NOT EXISTS (SELECT 1 FROM worklist w WHERE w.canonical_id = p.canonical_id)
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY canonical_id ORDER BY turn, discovery_rank, title) = 1
+        ), counted AS (
+          SELECT turn, discovery_source, COUNT(*) AS n,
+                 (SELECT COUNT(*) FROM firsts f WHERE f.discovery_source = p.discovery_source) AS fresh
+          FROM proposals p GROUP BY turn, discovery_source
+        )
+        SELECT canonical_id, title, enriched, discovery_source, discovery_rank, CAST(NULL AS BIGINT) AS skipped FROM worklist
+        UNION ALL SELECT canonical_id, title, FALSE, discovery_source, discovery_rank, NULL FROM firsts
         UNION ALL
-        SELECT CAST(1 AS BIGINT), 'Discovered 100 games from igdb-popular', NULL, 'igdb-popular', COUNT(*)
-        FROM ({_DISCOVERED}) p WHERE NOT EXISTS (SELECT 1 FROM worklist w WHERE w.canonical_id = p.canonical_id)""",
+        SELECT ROW_NUMBER() OVER (ORDER BY discovery_source), 'Discovered 100 games from ' || discovery_source, NULL,
+               discovery_source, fresh, n - fresh FROM counted""",
 )
 def _(m):
-    """The work list after discovery, followed by the audit entry."""
+    """The work list after discovery from all six sources, then a log entry and the counts of each."""
     log = m.spark.createDataFrame([], TABLES["audit_log"])
-    worklist, logged = jobs.discover_into(m.worklist, log, _feeds(m), "igdb-popular", CATALOGUE_NOW)
-    entry = logged.select(
+    worklist, logged, counts = jobs.discover_all(m.worklist, log, _feeds(m), list(jobs.SOURCES), CATALOGUE_NOW)
+    entry = logged.join(counts, "discovery_source").select(
         F.col("id").alias("canonical_id"), F.col("notes").alias("title"),
         F.lit(None).cast("boolean").alias("enriched"), "discovery_source",
-        F.col("discovered").alias("discovery_rank"),
+        F.col("new").alias("discovery_rank"), "skipped",
     )
-    return worklist.select("canonical_id", "title", "enriched", "discovery_source", "discovery_rank").unionByName(entry)
+    listed = worklist.select("canonical_id", "title", "enriched", "discovery_source", "discovery_rank")
+    return listed.unionByName(entry, allowMissingColumns=True)
 
 
 _ENRICHED = """
@@ -149,20 +182,23 @@ _ENRICHED = """
 @query(
     "job_enrich",
     f"""SELECT canonical_id, title, app_id, channel_id, required_age, is_active, track_forum FROM dim
-        UNION ALL {_ENRICHED} JOIN orders o ON o.o_orderkey = p.p_partkey WHERE o.o_totalprice <= 250000""",
+        UNION ALL {_ENRICHED} JOIN orders o ON o.o_orderkey = p.p_partkey WHERE o.o_totalprice <= 250000
+        UNION ALL SELECT o_orderkey, 'marked', NULL, NULL, NULL,
+                         o_totalprice > 250000 OR o_orderkey IN (SELECT p_partkey FROM part), NULL FROM orders""",
 )
 def _(m):
-    """Orders as work list: the pending ones are enriched from the landed payloads."""
+    """Orders as work list: the pending ones are enriched from the landed payloads and marked."""
     worklist = m.table("orders").select(
         F.col("o_orderkey").alias("canonical_id"), F.lit("Order").alias("title"),
         (F.col("o_totalprice") > 250000).alias("enriched"), F.col("o_orderdate").alias("discovered_at"),
         F.col("o_orderpriority").alias("discovery_source"),
         F.col("o_custkey").alias("discovery_rank"),
     )
-    _marked, dim = jobs.enrich_pending(worklist, m.dim, _feeds(m), CATALOGUE_NOW)
+    marked, dim = jobs.enrich_pending(worklist, m.dim, _feeds(m), CATALOGUE_NOW)
+    flags = marked.select("canonical_id", F.lit("marked").alias("title"), F.col("enriched").alias("is_active"))
     return dim.select(
         "canonical_id", "title", "app_id", "channel_id", "required_age", "is_active", "track_forum"
-    )
+    ).unionByName(flags, allowMissingColumns=True)
 
 
 @query(
@@ -177,24 +213,54 @@ def _(m):
     return jobs.reload_parquet(store, raw)
 
 
-@query(
-    "job_land",
-    """SELECT COUNT(*) AS records, COUNT(DISTINCT app_id) AS entities,
-              COUNT(score) AS with_score, COUNT(price_cents) AS with_price FROM raw_activity""",
-)
+_LANDED_SQL = """
+    WITH late_a AS (SELECT * FROM raw_activity WHERE ts >= TIMESTAMP '2024-01-29'),
+    late_v AS (SELECT * FROM raw_viewers WHERE ts >= TIMESTAMP '2024-01-29'),
+    figures AS (
+      SELECT 'activity' AS source, COUNT(*) AS records, COUNT(DISTINCT app_id) AS entities,
+             COUNT(score) AS with_score, COUNT(price_cents) AS with_price FROM raw_activity
+      UNION ALL SELECT 'viewers', COUNT(*), COUNT(DISTINCT channel_id), NULL, NULL FROM raw_viewers
+      UNION ALL SELECT 'ratings', COUNT(*), COUNT(DISTINCT canonical_id), NULL, NULL FROM raw_ratings
+    ), boards AS (
+      (SELECT 'activity' AS source, 'top10' AS board, CAST(app_id AS VARCHAR) AS entity, title, player_count AS metric,
+              ROW_NUMBER() OVER (ORDER BY player_count DESC NULLS LAST, ts, app_id) AS position
+       FROM late_a ORDER BY position LIMIT 10)
+      UNION ALL
+      (SELECT 'activity', 'top5_score', CAST(app_id AS VARCHAR), title, score,
+              ROW_NUMBER() OVER (ORDER BY score DESC, ts, app_id) AS position
+       FROM late_a WHERE score <> 0 ORDER BY position LIMIT 5)
+      UNION ALL
+      (SELECT 'viewers', 'top10', channel_id, title, viewer_count,
+              ROW_NUMBER() OVER (ORDER BY viewer_count DESC NULLS LAST, ts, channel_id) AS position
+       FROM late_v ORDER BY position LIMIT 10)
+    )
+    SELECT source, records, entities, with_score, with_price, CAST(NULL AS VARCHAR) AS board, CAST(NULL AS BIGINT) AS position,
+           CAST(NULL AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS BIGINT) AS metric FROM figures
+    UNION ALL SELECT source, NULL, NULL, NULL, NULL, board, position, entity, title, metric FROM boards"""
+
+
+@query("job_land", _LANDED_SQL)
 def _(m):
-    """A batch of samples landed twice."""
+    """Two batches of each source, the second one repeating samples: figures of the
+    tables after it, and its leading samples."""
     store = Store(m.spark, scratch_path(m.spark, "store"))
-    jobs.land_batch(store, "activity", m.raw_activity)
-    return jobs.land_batch(store, "activity", within(m.raw_activity, "ts", Range(datetime(2024, 1, 29))))
+    report = None
+    for source, rows in (("activity", m.raw_activity), ("viewers", m.raw_viewers), ("ratings", m.raw_ratings)):
+        jobs.land_batch(store, source, rows)
+        late = within(rows, "ts", Range(datetime(2024, 1, 29)))
+        for part in (jobs.land_batch(store, source, late), jobs.leaders(source, late)):
+            part = part.withColumn("source", F.lit(source))
+            report = part if report is None else report.unionByName(part, allowMissingColumns=True)
+    return report
 
 
 @query(
     "job_land_all",
-    """SELECT 'activity' AS source, COUNT(*) AS collected, FALSE AS failed FROM raw_activity
-       UNION ALL SELECT 'viewers', 0, TRUE
-       UNION ALL SELECT 'ratings', COUNT(*), FALSE FROM raw_ratings
-       UNION ALL SELECT 'total', (SELECT COUNT(*) FROM raw_activity) + (SELECT COUNT(*) FROM raw_ratings), FALSE""",
+    """SELECT 'activity' AS source, COUNT(*) AS collected, MIN(ts) AS first_ts, MAX(ts) AS last_ts, FALSE AS failed FROM raw_activity
+       UNION ALL SELECT 'viewers', 0, NULL, NULL, TRUE
+       UNION ALL SELECT 'ratings', COUNT(*), MIN(ts), MAX(ts), FALSE FROM raw_ratings
+       UNION ALL SELECT 'total', COUNT(*), MIN(ts), MAX(ts), FALSE
+                 FROM (SELECT ts FROM raw_activity UNION ALL SELECT ts FROM raw_ratings) b""",
 )
 def _(m):
     """One source cannot be read; the others land."""
@@ -211,7 +277,21 @@ def _(m):
             "ratings": lambda: m.raw_ratings,
         },
     )
-    return report.select("source", "collected", F.col("error").isNotNull().alias("failed"))
+    return report.select("source", "collected", "first_ts", "last_ts", F.col("error").isNotNull().alias("failed"))
+
+
+def _hourly_runs(m):
+    """Days stored by three refreshes, each renewing the all-time state of its months."""
+    store = Store(m.spark, scratch_path(m.spark, "store"))
+    for since, as_of in ((1, 12), (11, 21), (20, 30)):
+        jobs.refresh_daily(store, _inputs(m), date(2024, 1, since), date(2024, 1, as_of))
+        jobs.refresh_totals(store, date(2024, 1, since), date(2024, 1, as_of))
+    return store
+
+
+@query("unified_rankings_stored", with_statement("unified_rankings"))
+def _(m):
+    return rounded(jobs.export_frames(_hourly_runs(m), m.dim, AS_OF_TS)["unified_rankings"])
 
 
 @query(

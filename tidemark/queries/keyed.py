@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.clock import Range
 from tidemark.operators import entities, upsert
-from tidemark.operators.ordering import global_position
+from tidemark.operators.ordering import position_by
 from tidemark.operators.rollup import daily_activity
 from tidemark.queries.binding import AS_OF_TS
 from tidemark.queries.registry import query, rounded
@@ -162,7 +162,7 @@ def _(m):
 
 
 def _insertable(m):
-    ranked = global_position(m.incoming, [F.col("feed_rank")], "discovery_rank")
+    ranked = position_by(m.incoming, ["feed_rank"], "discovery_rank")
     return ranked.select(
         "canonical_id", "title", F.lit(False).alias("enriched"),
         F.lit(str(AS_OF_TS)).cast("timestamp_ntz").alias("discovered_at"),

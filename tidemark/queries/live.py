@@ -14,7 +14,7 @@ from tidemark.streaming import live
 
 def _stream(m):
     events = m.table("events")
-    source = live.file_stream(m.spark, f"{m.sf_dir}/events.parque[t]", events.schema)
+    source = live.file_stream(m.spark, f"{m.sf_dir}/events.parquet", events.schema)
     k = F.get_json_object("props", "$.k").cast("int")
     return activity_of(source.where(F.col("event_type").isin("click", "view")).withColumn("k", k))
 
@@ -52,5 +52,4 @@ def _(m):
     path = scratch_path(m.spark, "stream-upsert")
     samples = _stream(m)
     live.upsert_stream(samples, path, scratch_path(m.spark, "progress")).awaitTermination()
-    schema = live.hourly_stream(samples).schema.add("date", "date")
-    return rounded(m.spark.read.schema(schema).parquet(path).drop("date"))
+    return rounded(m.spark.read.schema(live.hourly_stream(samples).schema).parquet(path).drop("date"))

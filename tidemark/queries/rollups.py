@@ -304,3 +304,41 @@ def _(m):
 )
 def _(m):
     return retain.retention_counts(m.hourly_activity(), "hour", AS_OF_TS - timedelta(days=7))
+
+
+def _true_sql(period):
+    return f"""SELECT CAST({period} AS DATE) AS period, app_id, title, ROUND(AVG(player_count), 6) AS true_avg_ccu,
+                      ROUND(AVG(score), 6) AS true_avg_score,
+                      MAX(CASE WHEN score IS NOT NULL THEN {{'at': ts, 'value': score}} END).value AS true_latest_score
+               FROM raw_activity GROUP BY 1, 2, 3"""
+
+
+def _true_figures(m, *grains):
+    """Hour states merged through the given grains, each from the one before."""
+    states = rollup.carried_states(m.raw_activity, rollup.ACTIVITY_CARRIED)
+    for grain in grains:
+        states = rollup.merge_states(states, rollup.ACTIVITY_CARRIED, grain)
+    return rounded(rollup.carried_figures(states, rollup.ACTIVITY_CARRIED))
+
+
+@query("weekly_true_activity", _true_sql("DATE_TRUNC('week', ts)"))
+def _(m):
+    """Weekly means over all samples and the latest score, from hours by way of days."""
+    return _true_figures(m, "day", "week")
+
+
+@query("monthly_true_activity", _true_sql("DATE_TRUNC('month', DATE_TRUNC('week', ts))"))
+def _(m):
+    return _true_figures(m, "day", "week", "month")
+
+
+@query(
+    "monthly_true_viewers",
+    """SELECT CAST(DATE_TRUNC('month', DATE_TRUNC('week', ts)) AS DATE) AS period, channel_id, title,
+              ROUND(AVG(viewer_count), 6) AS true_avg_viewers, ROUND(AVG(channel_count), 6) AS true_avg_channels
+       FROM raw_viewers GROUP BY 1, 2, 3""",
+)
+def _(m):
+    states = rollup.carried_states(m.raw_viewers, rollup.VIEWERS_CARRIED, "week")
+    states = rollup.merge_states(states, rollup.VIEWERS_CARRIED, "month")
+    return rounded(rollup.carried_figures(states, rollup.VIEWERS_CARRIED))

@@ -45,6 +45,11 @@ def _coarse_viewers(period: str, count: str) -> T.StructType:
     return _table(**{period: DATE}, **_CHANNEL, **measures, **{count: LONG})
 
 
+def _parts(*means: str, **rest: T.DataType) -> dict[str, T.DataType]:
+    """Mergeable state: sum and number of each mean, then the other figures."""
+    return {**{f"{m}_{part}": dtype for m in means for part, dtype in (("sum", DOUBLE), ("n", LONG))}, **rest}
+
+
 TABLES: dict[str, T.StructType] = {
     "raw_activity": _table(
         ts=MOMENT, app_id=LONG, title=TEXT, player_count=LONG, score=INT, price_cents=INT,
@@ -82,6 +87,19 @@ TABLES: dict[str, T.StructType] = {
     "monthly_activity": _coarse_activity("month_start", "weeks_in_month"),
     "monthly_viewers": _coarse_viewers("month_start", "weeks_in_month"),
     "ratings_monthly": _table(month_start=DATE, **_ENTITY, **_RATING),
+    "activity_totals": _table(
+        month_start=DATE, title=TEXT, app_id=LONG, canonical_id=LONG,
+        **_parts(
+            "avg_peak_ccu", "avg_ccu", "avg_score", "avg_price_cents",
+            all_time_peak_ccu=LONG, latest_score=DOUBLE, days_tracked=LONG,
+        ),
+    ),
+    "viewer_totals": _table(
+        month_start=DATE, title=TEXT, channel_id=TEXT, canonical_id=LONG,
+        **_parts(
+            "avg_peak_viewers", "avg_viewers", "avg_channels", all_time_peak_viewers=LONG, days_tracked=LONG
+        ),
+    ),
 }
 
 KEYS: dict[str, tuple[str, ...]] = {
@@ -101,4 +119,6 @@ KEYS: dict[str, tuple[str, ...]] = {
     "monthly_activity": ("month_start", "app_id"),
     "monthly_viewers": ("month_start", "channel_id"),
     "ratings_monthly": ("month_start", "canonical_id"),
+    "activity_totals": ("month_start", "title", "app_id", "canonical_id"),
+    "viewer_totals": ("month_start", "title", "channel_id", "canonical_id"),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,3 +78,13 @@ def tracked_to_map(tracked: DataFrame) -> DataFrame:
     """
     entry = F.create_map(F.col("app_id").cast("string"), F.col("title"))
     return tracked.select("app_id", F.to_json(entry).alias("value"))
+
+
+def write_documents(texts: DataFrame, path: str) -> None:
+    """One file per row of the only column, as collectors land their payloads."""
+    texts.write.mode("append").option("maxRecordsPerFile", 1).text(path)
+
+
+def pretty(value: Column) -> Column:
+    """Indented JSON of a struct or an array, over several lines."""
+    return F.to_json(value, {"pretty": "true"})

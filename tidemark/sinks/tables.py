@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Folder column of bucketed tables.
+MONTH = "month_start"
+
 
 def _writer(df: DataFrame, mode: str, path: str | None):
     writer = df.write.mode(mode).format("parquet")
@@ -48,3 +52,24 @@ def create_empty_tables(
         _writer(spark.createDataFrame([], schema), "ignore", f"{root}/{table}").saveAsTable(table)
         created.append(table)
     return created
+
+
+def write_bucketed(
+    df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int, period: str | None = None
+) -> None:
+    """Store the frame in buckets of ``keys``, so that tables of equal buckets join without a shuffle.
+
+    With ``period`` (a date column) the table has a folder per month, and a later write replaces
+    the months of its rows only; without it the whole table is replaced.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn(MONTH, F.trunc(period, "month")) if period else df
+    # Each task writes the buckets it holds, so the rows are dealt by bucket first: one file per bucket.
+    dealt = rows.repartition(buckets, *keys)
+    if spark.catalog.tableExists(name) and period:
+        aligned = dealt.select(*spark.table(name).columns)  # the folder column comes last
+        aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+        return
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
+    writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.partitionBy(MONTH) if period else writer).saveAsTable(name)

@@ -16,13 +16,21 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.upsert import upsert_path
 
 HORIZON = "48 hours"
+#: Column of a stored stream table: the newest sample time of the row.
+VERSION = "last_ts"
 
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.parquet",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Parquet files arriving in a folder; a pattern in ``path`` may name a file or a folder."""
+    """Parquet files arriving in the folder ``path``, or the single file of that name.
+
+    A stream lists folders only, so a single file is given as a pattern of its own
+    name, with the last letter in brackets, which matches nothing else.
+    """
+    if path.endswith(".parquet"):
+        path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -72,13 +80,16 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Keep an hourly table current: every micro-batch replaces its changed hours.
 
-    A replayed micro-batch rewrites the same rows, so the table is the same
-    after a failure and restart.
+    The table keeps the newest sample time of each row as ``last_ts``. A row of a batch
+    replaces a stored one only if its own newest sample is not older, so a late sample of an
+    old title does not rename an hour. A replayed micro-batch rewrites the same
+    rows, so the table is the same after a failure and restart.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("date", F.to_date("hour"))
-        upsert_path(batch.sparkSession, path, rows, keys, ["_last", "title"], "date")
+        rows = batch.withColumnsRenamed({"_last": VERSION}).withColumn("date", F.to_date("hour"))
+        rows = rows.withColumn(VERSION, F.col(VERSION).cast("timestamp_ntz"))
+        upsert_path(batch.sparkSession, path, rows, keys, [VERSION, "title"], "date", version=VERSION)
 
     return (
         hourly_stream(samples, newest=True)
