@@ -36,6 +36,8 @@ END_ID = 1
 GRAIN = 8
 #: Words whose ids a task remembers; the store starts anew beyond it.
 REMEMBERED = 400_000
+#: White-space characters in a row from which on a text is encoded by the library.
+LONG_SPACE = 1 << 16
 #: The linear program may stop this close to its bound.
 GAP = 1e-4
 
@@ -66,7 +68,9 @@ class TokenBytes:
         self._encode = tiktoken.Encoding(
             "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(path), special_tokens={}
         ).encode_ordinary
+        self._path, self._library = path, None
         self._spaced = re.compile(r"\s ")
+        self._long = re.compile(rf"\s{{{LONG_SPACE}}}")
         self._added = {t: np.array([i], "<u4").tobytes() for t, i in _added(path).items()}
         longest_first = sorted(self._added, key=len, reverse=True)
         self._parts = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self._added else None
@@ -76,7 +80,13 @@ class TokenBytes:
         return np.array(self._encode(text), "<u4").tobytes()
 
     def _between(self, text: str) -> bytes:
-        """Ids of a text without added tokens."""
+        """Ids of a text without added tokens.
+
+        The fast encoder's stack overflows on runs of several hundred thousand white-space
+        characters; texts with a long run go to the library itself.
+        """
+        if len(text) >= LONG_SPACE and self._long.search(text):
+            return self._by_library(text)
         if self._spaced.search(text):
             return self._plain(text)
         known = self._known
@@ -86,6 +96,13 @@ class TokenBytes:
                 known[word] = self._plain(" " + word)
         return self._plain(first) + b"".join([known[word] for word in words])
 
+    def _by_library(self, text: str) -> bytes:
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self._path)
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def of(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         for text in texts:
             parts = self._parts.split(text or "") if self._parts else [text or ""]
