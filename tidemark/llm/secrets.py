@@ -77,21 +77,29 @@ def _p_of(token: Column, alphabet: str, agree: float, fold: bool) -> Column:
         )
 
         def tests(s: Column) -> Column:
-            ahead = F.slice(s, F.lit(2), F.size(s) - 1)
-            behind = F.slice(s, F.lit(1), F.size(s) - 1)
-            changes = F.aggregate(
-                F.zip_with(ahead, behind, lambda a, b: ((a < k / 2) != (b < k / 2)).cast("double")),
-                F.lit(0.0), lambda x, y: x + y,
-            )
-            total = F.aggregate(s, F.lit(0.0), lambda x, y: x + y)
-            mean = total / n
-            spread = F.aggregate(s, F.lit(0.0), lambda x, y: x + (y - mean) * (y - mean))
-            product = F.aggregate(
-                F.zip_with(ahead, behind, lambda a, b: (a - mean) * (b - mean)),
-                F.lit(0.0), lambda x, y: x + y,
-            )
+            # One pass over the symbols: sums, squares, products of neighbours and changes of half.
+            none = F.lit(None).cast("double")
+            start = F.struct(*[F.lit(0.0).alias(c) for c in ("total", "squares", "product", "changes")], none.alias("last"))
+
+            def step(a: Column, y: Column) -> Column:
+                before = a["last"]
+                changed = F.when(before.isNull() | ((before < k / 2) == (y < k / 2)), 0.0).otherwise(1.0)
+                return F.struct(
+                    (a["total"] + y).alias("total"), (a["squares"] + y * y).alias("squares"),
+                    (a["product"] + F.coalesce(before * y, F.lit(0.0))).alias("product"),
+                    (a["changes"] + changed).alias("changes"), y.alias("last"),
+                )
+
+            return let(F.struct(F.aggregate(s, start, step).alias("sums"), F.get(s, F.lit(0)).alias("first")), serial)
+
+        def serial(m: Column) -> Column:
+            sums = m["sums"]
+            mean = sums["total"] / n
+            spread = sums["squares"] - sums["total"] * mean
+            ends = 2 * sums["total"] - sums["last"] - m["first"]  # all symbols but the last, and all but the first
+            product = sums["product"] - mean * ends + (n - 1) * mean * mean
             return F.struct(
-                changes.alias("changes"),
+                sums["changes"].alias("changes"),
                 F.when(spread > 0, product / spread).otherwise(1.0).alias("serial"),
             )
 
