@@ -3,8 +3,10 @@
 Each writing task puts its records, compressed one by one, into the stored member
 ``archive/data.warc.gz`` of a ZIP file and their places into the stored member
 ``indexes/index.cdxj``. The reader parses the central directory, or the ZIP64 one
-where the sizes ask for it, locates both members in the file and reads the records
-of the index in ranges; nothing is unpacked to disk.
+where the sizes ask for it, finds every stored index and data member in the file and
+reads the records that the indexes name, each in the member of its line, in ranges;
+nothing is unpacked to disk. Archives of other writers may have several of both, and
+compressed indexes.
 
 Archives lie in the folder every executor can reach; file names are new for each
 attempt, and only the names of successful tasks are handed on.
@@ -26,6 +28,7 @@ import struct
 import uuid
 import zipfile
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,7 +43,8 @@ ARCHIVE_BYTES = 1 << 30
 #: Records that follow each other are read together up to this size.
 WINDOW_BYTES = 4 << 20
 MIN_REVISIT = 0
-DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+ARCHIVE, INDEXES = "archive/", "indexes/"
+DATA, INDEX = ARCHIVE + "data.warc.gz", INDEXES + "index.cdxj"
 
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -205,39 +209,55 @@ def _zip64(extra: bytes, *fields: int) -> list[int]:
     return found
 
 
-def stored_member(file, size: int, name: str) -> tuple[int, int]:
-    """First byte and length of a stored member's content."""
-    for found, method, header, packed, _ in directory(file, size):
-        if found == name:
-            if method != 0:
-                raise ValueError(f"{name} is compressed in the ZIP and cannot be read in ranges")
-            local = _at(file, header, 30)
-            name_len, extra_len = struct.unpack("<HH", local[26:30])
-            return header + 30 + name_len + extra_len, packed
-    raise ValueError(f"no member {name}")
+def stored_members(file, size: int) -> dict[str, tuple[int, int]]:
+    """First byte and length of the content of every stored member; compressed ones are left out."""
+    return {name: (header, packed) for name, method, header, packed, _ in directory(file, size) if method == 0}
+
+
+def _content(file, header: int) -> int:
+    """Where a member's content begins: its local header has a name and an extra field of its own."""
+    local = _at(file, header, 30)
+    name_len, extra_len = struct.unpack("<HH", local[26:30])
+    return header + 30 + name_len + extra_len
+
+
+def places(file, members: dict[str, tuple[int, int]]) -> dict[str, list[tuple[int, int]]]:
+    """Sorted offsets and lengths of the records per data member, from all indexes of the archive."""
+    found: dict[str, set[tuple[int, int]]] = defaultdict(set)
+    for name, (header, length) in members.items():
+        if not name.startswith(INDEXES) or not name.removesuffix(".gz").endswith((".cdxj", ".cdx")):
+            continue
+        index = _at(file, _content(file, header), length)
+        for line in (gzip.decompress(index) if name.endswith(".gz") else index).splitlines():
+            if b"{" in line and not line.startswith(b"!"):
+                entry = json.loads(line[line.index(b"{") :])
+                named = entry["filename"] if entry["filename"] in members else ARCHIVE + entry["filename"]
+                found[named].add((int(entry["offset"]), int(entry["length"])))
+    if not found:
+        raise ValueError("no stored index with records")
+    return {name: sorted(ranges) for name, ranges in found.items()}
 
 
 def read_ranges(path: str) -> Iterator[bytes]:
-    """The records of one archive by its index, in windows of neighbouring ranges."""
+    """The records of one archive by its indexes, in windows of neighbouring ranges."""
     system, inner = _open(path)
     size = system.get_file_info(inner).size
     with system.open_input_file(inner) as file:
-        data, _ = stored_member(file, size, DATA)
-        index, length = stored_member(file, size, INDEX)
-        ranges = sorted(
-            (int(e["offset"]), int(e["length"]))
-            for e in (json.loads(line.split(b" ", 1)[1]) for line in _at(file, index, length).splitlines())
-        )
-        at = 0
-        while at < len(ranges):
-            first, end, stop = ranges[at][0], ranges[at][0] + ranges[at][1], at + 1
-            while stop < len(ranges) and ranges[stop][0] == end and end + ranges[stop][1] - first <= WINDOW_BYTES:
-                end += ranges[stop][1]
-                stop += 1
-            window = _at(file, data + first, end - first)
-            for offset, count in ranges[at:stop]:
-                yield zlib.decompress(window[offset - first : offset - first + count], 31)
-            at = stop
+        members = stored_members(file, size)
+        for name, ranges in places(file, members).items():
+            if name not in members:
+                raise ValueError(f"{name} is named by an index but no stored member of {path}")
+            data, at = _content(file, members[name][0]), 0
+            while at < len(ranges):
+                first, end, stop = ranges[at][0], ranges[at][0] + ranges[at][1], at + 1
+                while stop < len(ranges) and ranges[stop][0] == end and end + ranges[stop][1] - first <= WINDOW_BYTES:
+                    end += ranges[stop][1]
+                    stop += 1
+                window = _at(file, data + first, end - first)
+                for offset, count in ranges[at:stop]:
+                    record = window[offset - first : offset - first + count]
+                    yield zlib.decompress(record, 31) if record[:2] == b"\x1f\x8b" else record
+                at = stop
 
 
 RECORD = pa.schema([
