@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.prefix_tree import Groups, PrefixTree, Similar
-from tidemark.llm.shared import shuffle_partitions
+from tidemark.llm.shared import Scratch, give_back, shuffle_partitions, sparing
 from tidemark.llm.shingles import shingle_set
 from tidemark.session import stage
 
@@ -56,7 +56,7 @@ def _arrow(columns: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that a task holds few sets at once."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -68,12 +68,12 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64())])
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             sets = (shingle_set(t, n) for t in batch.column(1).to_pylist())
             rows = [(len(s), set_id(s)) for s in sets]
             yield _arrow([batch.column(0), [r[0] for r in rows], [r[1] for r in rows]], schema)
 
-    return docs.mapInArrow(profile, "doc_id long, n_shingles long, node long")
+    return docs.mapInArrow(sparing(profile), "doc_id long, n_shingles long, node long")
 
 
 def bit_map(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -153,7 +153,8 @@ def frequencies(docs: DataFrame, n: int, shingles: int, limit: int = HEAVY) -> F
     many bytes as keep nearly all of them apart (16 values for each). Every range
     returns its part of the bit map and at most its part of ``limit``.
     """
-    ranged = max(8, shuffle_partitions(docs.sparkSession).bit_length())
+    # About a million shingles a range, so that a task's arrays do not grow with the input.
+    ranged = max(8, shuffle_partitions(docs.sparkSession).bit_length(), (shingles >> 20).bit_length())
     width = min(6, max(1, -(-((16 * max(1, shingles)).bit_length() - ranged) // 8)))
     bits, low = ranged + 8 * width, 8 * width
     inner = max(3, min(MAP_BITS, max(1, shingles).bit_length()) - ranged)
@@ -161,7 +162,7 @@ def frequencies(docs: DataFrame, n: int, shingles: int, limit: int = HEAVY) -> F
     schema = pa.schema([("range", pa.int32()), ("packed", pa.binary())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             sets = [shingle_set(t, n) for t in batch.column(1).to_pylist()]
             fine = np.sort(np.concatenate(sets or [np.zeros(0, np.uint64)]) >> np.uint64(64 - bits))
             cuts = np.searchsorted(fine >> np.uint64(low), np.arange(ranges + 1, dtype=np.uint64))
@@ -170,17 +171,23 @@ def frequencies(docs: DataFrame, n: int, shingles: int, limit: int = HEAVY) -> F
             yield _arrow([full.astype(np.int32), [packed[cuts[r] : cuts[r + 1]].tobytes() for r in full]], schema)
 
     def count(key, table):
-        raw = np.frombuffer(b"".join(table["packed"].to_pylist()), np.uint8).reshape(-1, width)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :width] = raw
-        every = np.sort(wide.view("<u8").ravel())
+        size = sum(len(p) // width for p in table["packed"].to_pylist())
+        wide, at = np.zeros((size, 8), np.uint8), 0
+        for part in table["packed"]:
+            raw = np.frombuffer(part.as_buffer(), np.uint8).reshape(-1, width)
+            wide[at : at + len(raw), :width] = raw
+            at += len(raw)
+        every = wide.view("<u8").ravel()
+        every.sort()
         first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
         counts = np.diff(np.append(first, len(every)))
         values, counts = every[first][counts > 1], counts[counts > 1]
+        del wide, every, first
         seen = np.zeros(1 << inner, bool)
         seen[values >> np.uint64(low - inner) if low >= inner else values << np.uint64(inner - low)] = True
         top = np.sort(np.lexsort((values, -counts))[: max(1, limit // ranges)])
         fine = (np.uint64(key[0].as_py()) << np.uint64(low)) + values[top]
+        give_back()
         return pa.table({
             "range": pa.array([key[0].as_py()], pa.int32()),
             "seen": pa.array([np.packbits(seen, bitorder="little").tobytes()], pa.binary()),
@@ -188,7 +195,7 @@ def frequencies(docs: DataFrame, n: int, shingles: int, limit: int = HEAVY) -> F
             "df": pa.array([counts[top].astype(np.int64).tobytes()], pa.binary()),
         })
 
-    packed = docs.mapInArrow(pack, "range int, packed binary")
+    packed = docs.mapInArrow(sparing(pack), "range int, packed binary")
     # At most 1 << MAP_BITS bits and ``limit`` shingles come to the driver.
     found = packed.groupBy("range").applyInArrow(count, "range int, seen binary, fine binary, df binary").toArrow()
     rows = sorted(found.to_pylist(), key=lambda r: r["range"])
@@ -206,7 +213,7 @@ def prefixes(docs: DataFrame, n: int, similar: Similar, known: Frequencies) -> D
     schema = pa.schema([("element", pa.int64()), ("node", pa.int64())])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             elements, nodes = [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingle_set(text, n)
@@ -221,7 +228,7 @@ def prefixes(docs: DataFrame, n: int, similar: Similar, known: Frequencies) -> D
             if elements:
                 yield _arrow([np.concatenate(elements), np.concatenate(nodes)], schema)
 
-    return docs.mapInArrow(take, "element long, node long")
+    return docs.mapInArrow(sparing(take), "element long, node long")
 
 
 def coarse_links(prefix: DataFrame) -> DataFrame:
@@ -253,7 +260,7 @@ def _by_group(rows: DataFrame, work: Callable) -> DataFrame:
 
     spread = rows.select("root", "block", "part", "node", "text", "probe")
     spread = spread.repartition(shuffle_partitions(rows.sparkSession), "root", "block", "part")
-    return spread.sortWithinPartitions("root", "block", "part", "node").mapInArrow(run, "a long, b long")
+    return spread.sortWithinPartitions("root", "block", "part", "node").mapInArrow(sparing(run), "a long, b long")
 
 
 def _tree_links(n: int, similar: Similar) -> Callable:
@@ -273,7 +280,9 @@ def _tree_links(n: int, similar: Similar) -> Callable:
     return work
 
 
-def similar_nodes(docs: DataFrame, nodes: DataFrame, coarse: DataFrame, n: int, similar: Similar) -> DataFrame:
+def similar_nodes(
+    docs: DataFrame, nodes: DataFrame, coarse: DataFrame, n: int, similar: Similar, scratch: Scratch
+) -> DataFrame:
     """``node, root`` of the true components within the coarse ones.
 
     ``docs``: doc_id, text. ``nodes``: node, doc_id (one of its documents), n_shingles.
@@ -282,9 +291,9 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, coarse: DataFrame, n: int,
     blocks = known.groupBy("root").agg(F.ceil(F.sum("n_shingles") / BLOCK).cast("int").alias("blocks"))
     place = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = known.join(blocks, "root").withColumn("block", place)
-    placed, _ = stage(placed, "jaccard-placed")
+    placed = scratch(placed, "jaccard-placed")
     wanted = only_with(docs, placed.select("doc_id"), placed.count())
-    members, _ = stage(wanted.join(placed, "doc_id").drop("doc_id"), "jaccard-members")
+    members = scratch(wanted.join(placed, "doc_id").drop("doc_id"), "jaccard-members")
     nowhere = F.lit(0)
 
     # The root is in every block of its component, so most blocks meet through it.
@@ -292,13 +301,13 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, coarse: DataFrame, n: int,
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     ).where(F.col("block") != place)
     first = members.unionByName(roots).withColumns({"part": nowhere, "probe": F.lit(False)})
-    links, _ = stage(_by_group(first, _tree_links(n, similar)), "jaccard-links")
+    links = scratch(_by_group(first, _tree_links(n, similar)), "jaccard-links")
     found = components(links)
     split = members.where(F.col("blocks") > 1)
     if split.isEmpty():
         return found
 
-    grouped, _ = stage(
+    grouped = scratch(
         split.join(found.withColumnRenamed("root", "inner"), "node", "left")
         .withColumn("inner", F.coalesce("inner", "node")),
         "jaccard-groups",
@@ -322,7 +331,7 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, coarse: DataFrame, n: int,
     )
     columns = ["root", "block", "part", "node", "text", "probe"]
     both = asked.select(columns).unionByName(stored.select(columns))
-    more, _ = stage(_by_group(both, _tree_links(n, similar)), "jaccard-links")
+    more = scratch(_by_group(both, _tree_links(n, similar)), "jaccard-links")
     return components(links.unionByName(more))
 
 
@@ -342,21 +351,22 @@ def join(
     return classes(*named_classes(named_text(docs, id_col, text_col), n, Similar(num, den)))
 
 
-def profiled(docs: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+def profiled(docs: DataFrame, n: int, scratch: Scratch, keep: bool = True) -> tuple[DataFrame, DataFrame]:
     """``doc_id, n_shingles, node`` of all documents; the nodes with their smallest id and copies."""
-    profile, _ = stage(profiles(docs, n), "jaccard-profiles")
+    found = profiles(docs, n)
+    profile = stage(found, "jaccard-profiles")[0] if keep else scratch(found, "jaccard-profiles")
     nodes = profile.where(F.col("n_shingles") > 0).groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("copies")
     )
-    return profile, stage(nodes, "jaccard-nodes")[0]
+    return profile, scratch(nodes, "jaccard-nodes")
 
 
-def one_per_node(docs: DataFrame, profile: DataFrame, nodes: DataFrame) -> DataFrame:
+def one_per_node(docs: DataFrame, profile: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
     """The documents without those whose set another one stands for.
 
     Only texts that may be copies meet the exact list; the others stay where they are.
     """
-    copies, _ = stage(
+    copies = scratch(
         profile.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
         .join(nodes.select("doc_id"), "doc_id", "left_anti"),
         "jaccard-copies",
@@ -367,12 +377,14 @@ def one_per_node(docs: DataFrame, profile: DataFrame, nodes: DataFrame) -> DataF
 
 
 def class_names(
-    docs: DataFrame, nodes: DataFrame, keys: DataFrame, n: int, similar: Similar
+    docs: DataFrame, nodes: DataFrame, links: DataFrame, n: int, similar: Similar, scratch: Scratch
 ) -> DataFrame:
-    """``node, component`` of the sets that are linked or have copies; similar nodes share one of the ``element, node`` keys."""
-    keys, _ = stage(keys, "jaccard-keys")
-    coarse, _ = stage(components(coarse_links(keys)), "jaccard-coarse")
-    true = similar_nodes(docs, nodes.drop("copies"), coarse, n, similar)
+    """``node, component`` of the sets that are linked or have copies.
+
+    ``links (a, b)`` join all similar nodes, over others if need be; similarity is verified here.
+    """
+    coarse = scratch(components(links), "jaccard-coarse")
+    true = similar_nodes(docs, nodes.drop("copies"), coarse, n, similar, scratch)
     linked = true.join(nodes.select("node", F.col("doc_id").alias("least")), "node")
     names = linked.join(linked.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "component")
     copied = nodes.where(F.col("copies") > 1).select("node", F.col("doc_id").alias("copy_of"))
@@ -384,11 +396,15 @@ def class_names(
 
 def named_classes(docs: DataFrame, n: int, similar: Similar) -> tuple[DataFrame, DataFrame]:
     """The profile of ``doc_id, text``, and the names of its classes."""
-    profile, nodes = profiled(docs, n)
+    scratch = Scratch()
+    profile, nodes = profiled(docs, n, scratch)
     total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
-    single = one_per_node(docs, profile, nodes)
+    single = one_per_node(docs, profile, nodes, scratch)
     known = frequencies(single, n, total)
-    return profile, class_names(docs, nodes, prefixes(single, n, similar, known), n, similar)
+    keys = scratch(prefixes(single, n, similar, known), "jaccard-keys")
+    names = class_names(docs, nodes, coarse_links(keys), n, similar, scratch)
+    scratch.clear()
+    return profile, names
 
 
 def classes(profile: DataFrame, known: DataFrame) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import remove_path, stage
+
 #: Bytes that part words: space and 0x09 to 0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -27,3 +31,39 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for NULL."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
+class Scratch:
+    """Staged tables that are removed together, when their last reader is staged itself."""
+
+    def __init__(self) -> None:
+        self._staged: list[tuple[SparkSession, str]] = []
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        kept, path = stage(df, label)
+        self._staged.append((df.sparkSession, path))
+        return kept
+
+    def clear(self) -> None:
+        for spark, path in self._staged:
+            remove_path(spark, path)
+        self._staged.clear()
+
+
+def sparing(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` for ``mapInArrow`` that gives freed memory back at the end of each partition.
+
+    Python workers outlive their tasks; without this each keeps what its largest one took.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
