@@ -5,6 +5,11 @@ words, similarity 0.8) keeps the smallest id of every group of near copies;
 personal data is masked; sources are mixed to their target weights, so a
 document may come several times or in part; packing cuts what is left into
 sequences. Documents without any word are in no group and stay as they are.
+
+Defined cases: NULL, empty and letterless texts go in the first stage; NULL lang and source
+stay and count as a source of their own; NULL ids come last in ties; repeated rows of one id
+and text stay once; very long texts are read whole in every stage; extra columns pass all
+stages but the last; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,6 +21,8 @@ from tidemark.llm import jaccard_join, language_id, mixing, packing, pii
 from tidemark.llm.shared import table
 from tidemark.session import scratch_path
 
+#: Names a document within the copy stage.
+ROW = "__row"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -29,12 +36,19 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the one with the smallest id; one row of repeated ids."""
-    found = jaccard_join.join(docs)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi")
-    nameless = docs.where(F.col("doc_id").isNull())
-    return once.dropDuplicates(["doc_id"]).unionByName(nameless)
+    """Keeps one document of each group: the one with the smallest id, NULL last, then by a hash.
+
+    A document is its id and text: different texts of one id are judged apart, rows without
+    an id are searched for copies as well, and repeated rows of one id and text stay once.
+    """
+    keyed = docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
+    found = jaccard_join.join(keyed, id_col=ROW).withColumnRenamed("doc_id", ROW)
+    ranked = keyed.select(ROW, "doc_id").join(found, ROW)
+    first = F.min_by(ROW, F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias(ROW)
+    kept = ranked.where(F.col("n_shingles") > 0).groupBy("component_id").agg(first).select(ROW)
+    wordless = found.where(F.col("n_shingles") == 0).select(ROW)
+    once = keyed.join(kept.unionByName(wordless), ROW, "left_semi").dropDuplicates([ROW])
+    return once.select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
