@@ -145,6 +145,32 @@ def test_documents_are_one_file_each(spark, rows, tmp_path):
     assert len(texts) == 5 and all(t.count("\n") > 2 for t in texts)
 
 
+def test_documents_of_one_partition_are_written_by_many_tasks(spark, got, tmp_path):
+    frame = spark.range(0, 300, numPartitions=1).select(F.concat(F.lit("n"), "id").alias("value"))
+    files.write_documents(frame, str(tmp_path / "out"))
+    files.write_documents(frame.limit(1), str(tmp_path / "out"))  # appends
+    found = [p for p in (tmp_path / "out").glob("*.txt") if p.stat().st_size]
+    assert sorted(p.read_text() for p in found) == sorted([f"n{i}\n" for i in range(300)] + ["n0\n"])
+    assert len({p.name.split("-")[1] for p in found}) > 4  # part-<task>-…
+    assert not (tmp_path / "out" / "_temporary").exists()
+
+
+def test_staged_scan_opens_each_file_once(spark, got, tmp_path):
+    texts = {"a": '{"id": 1,\n"name": "x"}', "b": '[{"id": 2}, {"name": "y"}]', "c": '{"id": 3, "na', "d": '{"id": "text"}'}
+    (tmp_path / "in").mkdir()
+    for name, text in texts.items():
+        (tmp_path / "in" / f"{name}.json").write_text(text)
+    setting = "spark.sql.files.openCostInBytes"
+    kept = spark.conf.get(setting)
+    direct = landed.scan_whole(spark, str(tmp_path / "in"), "id bigint, name string")
+    staged = landed.stage_whole(spark, str(tmp_path / "in"), "id bigint, name string")
+    assert spark.conf.get(setting) == kept and staged.dtypes == direct.dtypes
+    assert got(staged) == got(direct) and got(landed.scan_report(staged)) == [(4, 3, 2, 2, 1)]
+    for p in (tmp_path / "in").iterdir():
+        p.write_text("{}")  # what is read now comes from the stage
+    assert got(landed.sound(staged)) == [(1, "x"), (2, None), (None, "y")]
+
+
 def test_stored_json_text_is_decoded_or_kept(rows, tmp_path):
     import json
 
