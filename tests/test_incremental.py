@@ -173,3 +173,42 @@ def test_discovery_from_several_sources(spark, rows, got):
     assert got(logged, "discovery_source", "discovered") == [("igdb-highest-rated", 1), ("igdb-popular", 0), ("igdb-recent", 1)]
     with pytest.raises(ValueError, match="unknown source"):
         jobs.discover_into(worklist, log, feeds, "nowhere", stamp)
+
+
+def test_a_first_upsert_is_not_staged(spark, rows, got, tmp_path, monkeypatch):
+    schema = "date date, k long, v long"
+    monkeypatch.setattr(upsert, "stage", lambda *a: pytest.fail("staged"))
+    first = rows(schema, ("2025-01-01", 1, 10), ("2025-01-01", 1, 30), ("2025-01-02", 1, 20), (None, 2, 5))
+    upsert.upsert_path(spark, str(tmp_path / "t"), first, ["date", "k"], ["v"], "date")
+    monkeypatch.undo()
+    assert got(spark.read.schema(schema).parquet(str(tmp_path / "t")), "k", "v") == [(1, 20), (1, 30), (2, 5)]
+    upsert.upsert_path(spark, str(tmp_path / "t"), rows(schema, ("2025-01-02", 1, 7)), ["date", "k"], ["v"], "date")
+    assert got(spark.read.schema(schema).parquet(str(tmp_path / "t")), "k", "v") == [(1, 30), (1, 7), (2, 5)]
+
+
+def test_period_tables_read_the_samples_once_per_table_of_days(spark, rows, got):
+    from tidemark.queries.binding import Model
+    from tidemark.queries.jobs import _period_tables
+
+    kinds = ("click", "view", "purchase", "signup")
+    events = rows(
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+        *[(i, f"2024-01-{i % 25 + 1:02d} 0{i % 9}:10:00", i % 3 + 1, kinds[i % 4], i * 1.5, f'{{"k": {i % 7}}}') for i in range(120)],
+    )
+    customer = rows(  # one key twice: two names for one id
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        (1, "a", 2, 10.0, "AUTO"), (1, "b", 2, 20.0, "AUTO"), (2, "c", 3, -5.0, "BUILDING"),
+    )
+    read = []
+
+    class Own(Model):
+        def table(self, name):
+            read.append(name)
+            return {"events": events, "customer": customer}[name]
+
+    model = Own(spark, "")
+    found = dict(_period_tables(model))
+    assert read.count("events") == 4 and len(found) == 10
+    for name, frame in found.items():
+        want = getattr(model, name)()
+        assert frame.dtypes == want.dtypes and got(frame) == got(want) != [], name

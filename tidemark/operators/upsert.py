@@ -186,11 +186,12 @@ def upsert_path(
     """
     columns = [c for c in updates.columns if not c.startswith("_")]
     finish_pending(spark, path, partition)
-    fresh, staged = stage(collapse_last(updates, keys, order), "updates")
+    fresh = collapse_last(updates, keys, order)
+    if not path_exists(spark, path):
+        write_partitions(fresh.select(*columns), path, [partition])  # read once, so not staged
+        return
+    fresh, staged = stage(fresh, "updates")
     try:
-        if not path_exists(spark, path):
-            write_partitions(fresh.select(*columns), path, [partition])
-            return
         stored = spark.read.schema(fresh.select(*columns).schema).parquet(path)
         # Literal folder values: only they prune the scan. A batch names few periods.
         periods = [r[0] for r in fresh.select(partition).distinct().collect()]

@@ -7,13 +7,14 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tidemark.clock import Range, within
+from tidemark.operators import latest, rollup
 from tidemark.plans import jobs
 from tidemark.plans.store import Store
 from tidemark.queries.binding import AS_OF_TS, CATALOGUE_NOW
 from tidemark.queries.registry import ORACLES, query, rounded
 from tidemark.queries.rollups import _CCU
 from tidemark.schemas import TABLES
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stage
 
 
 def _inputs(m):
@@ -97,14 +98,31 @@ def _(m):
     return report
 
 
+_COARSER = (  # days, weeks, months, and what makes weeks of days and months of weeks
+    ("daily_activity", "weekly_activity", "monthly_activity", rollup.weekly_activity, rollup.monthly_activity),
+    ("daily_viewers", "weekly_viewers", "monthly_viewers", rollup.weekly_viewers, rollup.monthly_viewers),
+    ("ratings_daily", "ratings_weekly", "ratings_monthly", latest.ratings_weekly, latest.ratings_monthly),
+)
+
+
+def _period_tables(m):
+    """Name and rows of the ten period tables.
+
+    Days and weeks are staged, so that weeks read the days and months the weeks instead of all samples again.
+    """
+    yield "hourly_activity", m.hourly_activity()
+    for days, weeks, months, by_week, by_month in _COARSER:
+        daily, _ = stage(getattr(m, days)(), days)
+        weekly, _ = stage(by_week(daily), weeks)
+        yield from ((days, daily), (weeks, weekly), (months, by_month(weekly)))
+
+
 @query("job_export_only", _counts_sql())
 def _(m):
     """Exports from tables that are already stored."""
     store = Store(m.spark, scratch_path(m.spark, "store"))
-    for table in ("hourly_activity", "daily_activity", "daily_viewers", "ratings_daily",
-                  "weekly_activity", "weekly_viewers", "ratings_weekly",
-                  "monthly_activity", "monthly_viewers", "ratings_monthly"):
-        store.upsert(table, getattr(m, table)().withColumn("_order", F.lit(0)), ["_order"])
+    for table, rows in _period_tables(m):
+        store.upsert(table, rows.withColumn("_order", F.lit(0)), ["_order"])
     return _counts(m, jobs.export_all(store, m.dim, AS_OF_TS, scratch_path(m.spark, "exports")))
 
 
