@@ -233,8 +233,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def band_classes(docs: DataFrame) -> DataFrame:
     """``node, component`` of ``doc_id, text``: classes of verified links between texts that share a band."""
     scratch = Scratch()
-    profile, nodes = profiled(docs, SHINGLE, scratch, keep=False)
-    single = one_per_node(docs, profile, nodes, scratch)
+    _, nodes = profiled(docs, SHINGLE, scratch, keep=False)
+    single = one_per_node(docs, nodes)
     links = scratch(band_links(single, nodes.count()), "band-links")
     names = class_names(docs, nodes, links, SHINGLE, SIMILAR, scratch)
     scratch.clear()
